@@ -2,9 +2,11 @@
 
 ratio = 200 * LCS / (len a + len b), so a match at threshold t allows at most
 d = (len a + len b) * (1 - t/100) insertions and deletions. Cut the shorter name into
-d + 1 pieces: one of them survives unchanged in the longer name, moved by a bounded number
-of places (segment filter of PassJoin, Li et al., VLDB 2011). That makes candidates an
-equi-join on lengths, piece number and piece text.
+d + 1 pieces (segment filter of PassJoin, Li et al., VLDB 2011). Take the first p for which
+pieces 0..p hold at most p changes: piece p is unchanged, exactly p insertions or deletions
+lie before it and at most d - p behind it. So it is found in the longer name at a shift of
+p, p - 2, ..., -p, and no further from the length difference than d - p. That makes
+candidates an equi-join on lengths, piece number and piece text.
 """
 
 from __future__ import annotations
@@ -30,12 +32,17 @@ def lcs_length(a: str, b: str) -> int:
     return len(a) - free.bit_count()
 
 
-@F.pandas_udf("double")
-def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series(
-        [200.0 * lcs_length(x, y) / (len(x) + len(y)) if x or y else 100.0 for x, y in zip(a, b)],
-        dtype="float64",
-    )
+def indel_ratio(a: Column, b: Column) -> Column:
+    """200 * LCS / (len a + len b), computed per Arrow batch."""
+
+    @F.pandas_udf("double")
+    def ratio(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        return pd.Series(
+            [200.0 * lcs_length(x, y) / (len(x) + len(y)) if x or y else 100.0 for x, y in zip(xs, ys)],
+            dtype="float64",
+        )
+
+    return ratio(a, b)
 
 
 def _allowed(total: Column, threshold: float) -> Column:
@@ -81,17 +88,16 @@ def _long_signatures(names: DataFrame, threshold: float) -> DataFrame:
     start, size = _piece_bounds(F.col("len_short"), F.col("pieces"), F.col("piece"))
     out = out.withColumns({"_start": start, "_size": size})
     extra = length - F.col("len_short")
-    back = F.floor((F.col("pieces") - 1 - extra) / 2).cast("int")
-    ahead = F.floor((F.col("pieces") - 1 + extra) / 2).cast("int")
-    first = F.greatest(F.col("_start") - back, F.lit(0))
-    last = F.least(F.col("_start") + ahead, length - F.col("_size"))
-    out = out.withColumns({"_first": first, "_last": last}).filter(
-        (F.col("pieces") - 1 >= extra) & (F.col("_first") <= F.col("_last"))
+    left = F.col("pieces") - 1 - F.col("piece")  # changes left behind the piece
+    shifts = F.filter(
+        F.sequence(-F.col("piece"), F.col("piece"), F.lit(2)),
+        lambda s: (F.abs(extra - s) <= left)
+        & (F.col("_start") + s >= 0)
+        & (F.col("_start") + s + F.col("_size") <= length),
     )
     texts = F.array_distinct(
         F.transform(
-            F.sequence(F.col("_first"), F.col("_last")),
-            lambda p: F.substring(F.col("name"), p + 1, F.col("_size")),
+            shifts, lambda s: F.substring(F.col("name"), F.col("_start") + s + 1, F.col("_size"))
         )
     )
     return out.select(

@@ -116,13 +116,12 @@ def parse_response(
         ),
     )
     df = df.withColumn("_pairs", pairs)
-    values = {
-        key: F.try_element_at(
-            F.filter("_pairs", lambda pair, key=key: pair["key"] == key), F.lit(1)
-        )["value"]
-        for key in keys
-    }
-    return df.withColumns(values).drop("_pairs")
+
+    def first_value(key: str) -> Column:
+        mine = F.filter("_pairs", lambda pair: pair["key"] == key)
+        return F.try_element_at(mine, F.lit(1))["value"]
+
+    return df.withColumns({key: first_value(key) for key in keys}).drop("_pairs")
 
 
 def parse_blocks(df: DataFrame, response: str, keys: list[str], out: str = "block") -> DataFrame:

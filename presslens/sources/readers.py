@@ -32,11 +32,13 @@ def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def read_folder_union(
     spark: SparkSession, folder: str, schema: str, tag: str = "source_file", glob: str = "*.csv"
 ) -> DataFrame:
-    """All CSV files of a folder in one scan, tagged with their file name."""
+    """All CSV files of a folder in one scan, tagged with their file name.
+
+    A file whose header differs from the schema is an error; see read_folders_by_name.
+    """
     reader = spark.read.schema(schema).option("header", True).option("escape", '"')
-    # Columns are found by header name, so files may order or lack them differently.
-    df = reader.option("enforceSchema", False).option("recursiveFileLookup", True)
-    out = df.option("pathGlobFilter", glob).csv(folder)
+    reader = reader.option("enforceSchema", False).option("recursiveFileLookup", True)
+    out = reader.option("pathGlobFilter", glob).csv(folder)
     return out.withColumn(tag, F.col("_metadata.file_name"))
 
 
@@ -71,6 +73,8 @@ def read_jsonl_glob(spark: SparkSession, folder: str, schema: str, kind: str = "
     return spark.read.schema(schema).json(f"{folder.rstrip('/')}/{ITEM_PATTERNS[kind]}")
 
 
-def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A file holding one list of objects."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_json_array(
+    spark: SparkSession, path: str, schema: str, one_list_per_line: bool = False
+) -> DataFrame:
+    """Files holding one list of objects, or (splittable) one list per line."""
+    return spark.read.schema(schema).option("multiLine", not one_list_per_line).json(path)
