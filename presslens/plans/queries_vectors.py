@@ -99,9 +99,7 @@ def v06(spark, d):
            ON a.headline = b.headline OR a.domain = b.domain),
        reach AS (SELECT page_id AS node, page_id AS seen FROM headlines_v
                  UNION SELECT reach.node, e.dst FROM reach JOIN e ON e.src = reach.seen)
-       SELECT node AS page_id, min(seen) AS component FROM reach GROUP BY node""".replace(
-        "WITH RECURSIVE e", "WITH e"
-    ),
+       SELECT node AS page_id, min(seen) AS component FROM reach GROUP BY node""",
     ("headlines_v",),
 )
 def v07(spark, d):

@@ -163,6 +163,8 @@ def with_views(sql: str, *names: str) -> str:
     """Put the named views in front of a SELECT (which may bring its own WITH)."""
     parts = ", ".join(f"{n} AS ({SQL_VIEWS[n]})" for n in names)
     body = sql.strip()
-    if body[:5].upper() == "WITH ":
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {parts}, {body[15:]}"
+    if body.upper().startswith("WITH "):
         return f"WITH {parts}, {body[5:]}"
     return f"WITH {parts} {body}"
