@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from presslens.functions.text import normalise_name, sorted_tokens
 from presslens.operators.fuzzy import match_names
@@ -18,18 +18,30 @@ def edges_same_key(df: DataFrame, node: str, key: Column) -> DataFrame:
 
 
 def edges_within(df: DataFrame, node: str, value: str, distance: float, block: list[str]) -> DataFrame:
-    """|x - y| <= distance inside a block: neighbours in sorted order carry the same
-    components as all pairs. Equal values are tied to one representative first."""
-    same = df.select(*block, F.col(node).alias("src"), F.col(value).alias("_x")).na.drop()
-    points = same.groupBy(*block, "_x").agg(F.min("src").alias("dst"))
-    ties = same.join(points, [*block, "_x"]).filter("src != dst").select("src", "dst")
-    order = Window.partitionBy(*block).orderBy("_x")
-    steps = points.select(
+    """|x - y| <= distance inside a block, as edges with the same components as all pairs.
+
+    The value line is cut into cells of half the distance. Members of a cell belong
+    together and are tied to its smallest node; two cells belong together exactly if the
+    largest value of the lower and the smallest of the upper one are close enough, which
+    only the next three cells can be. Every step is a grouped aggregate or an equi-join.
+    """
+    if distance <= 0:
+        raise ValueError("distance must be positive; use edges_same_key for equality")
+    points = df.select(*block, F.col(node).alias("src"), F.col(value).alias("_x")).na.drop()
+    points = points.withColumn("_cell", F.floor(F.col("_x") / (distance / 2)))
+    cells = points.groupBy(*block, "_cell").agg(
+        F.min("src").alias("dst"), F.min("_x").alias("_low"), F.max("_x").alias("_high")
+    )
+    members = points.join(cells, [*block, "_cell"]).filter("src != dst").select("src", "dst")
+    upper = cells.select(
+        *block,
+        F.explode(F.array(*(F.col("_cell") - i for i in (1, 2, 3)))).alias("_cell"),
         F.col("dst").alias("src"),
-        F.lag("dst").over(order).alias("dst"),
-        (F.col("_x") - F.lag("_x").over(order)).alias("_gap"),
+        F.col("_low").alias("_next_low"),
     )
-    return ties.unionByName(steps.filter(F.col("_gap") <= distance).select("src", "dst"))
+    steps = cells.select(*block, "_cell", "dst", "_high").join(upper, [*block, "_cell"])
+    near = steps.filter(F.col("_next_low") - F.col("_high") <= distance)
+    return members.unionByName(near.select("src", "dst"))
 
 
 def edges_fuzzy(df: DataFrame, node: str, name: str, threshold: float = 90) -> DataFrame:

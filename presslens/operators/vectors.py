@@ -204,7 +204,9 @@ def sample_kmeans(
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    sample = sample_n(df, [id_col], fit_rows, seed)
+    # Only ids are ordered; the vectors of the chosen ids are fetched by a join.
+    ids = sample_n(df.select(id_col), [id_col], fit_rows, seed)
+    sample = df.select(id_col, vector).join(ids, id_col, "left_semi")
     features = sample.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
     model = KMeans(k=k, seed=seed).fit(features)
     centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
