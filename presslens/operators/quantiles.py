@@ -31,18 +31,14 @@ def exact_percentiles(
         F.percentile_approx("_x", lower, SKETCH_ACCURACY).alias("_lo"),
         F.percentile_approx("_x", upper, SKETCH_ACCURACY).alias("_hi"),
     )
-    brackets = sketch.select(
-        *keys,
-        "_n",
-        F.posexplode(F.arrays_zip("_lo", "_hi")).alias("_i", "_b"),
-    ).select(*keys, "_n", "_i", F.col("_b._lo").alias("_lo"), F.col("_b._hi").alias("_hi"))
+    brackets = sketch.select(*keys, "_n", F.posexplode("_lo").alias("_i", "_low"))
 
-    tagged = rows.join(
-        sketch.select(*keys, "_lo", "_hi"), keys
-    ).select(
-        *keys,
-        "_x",
-        F.posexplode(F.arrays_zip("_lo", "_hi")).alias("_i", "_b"),
+    if groups:
+        marked = rows.join(sketch.select(*keys, "_lo", "_hi"), keys)
+    else:
+        marked = rows.withColumns({c: sketch.select(c).scalar() for c in ("_lo", "_hi")})
+    tagged = marked.select(
+        *keys, "_x", F.posexplode(F.arrays_zip("_lo", "_hi")).alias("_i", "_b")
     ).select(*keys, "_x", "_i", F.col("_b._lo").alias("_lo"), F.col("_b._hi").alias("_hi"))
     inside = F.col("_x").between(F.col("_lo"), F.col("_hi"))
     outer = tagged.groupBy(*keys, "_i").agg(

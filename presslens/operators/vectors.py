@@ -153,12 +153,12 @@ def _knn_grid(queries, base, query_id, base_id, vector, k, schema) -> DataFrame:
     left = queries.select(query_id, vector).withColumns(
         {
             "_row": F.pmod(F.xxhash64(query_id), F.lit(n_query)),
-            "_col": F.explode(F.sequence(F.lit(0), F.lit(n_base - 1))).cast("bigint"),
+            "_col": F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_base - 1).cast("bigint"))),
         }
     )
     right = base.select(F.col(base_id), vector).withColumns(
         {
-            "_row": F.explode(F.sequence(F.lit(0), F.lit(n_query - 1))).cast("bigint"),
+            "_row": F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_query - 1).cast("bigint"))),
             "_col": F.pmod(F.xxhash64(base_id), F.lit(n_base)),
         }
     )

@@ -10,7 +10,11 @@ from presslens.plans.registry import query
 from presslens.plans.views import articles, breaches, rater_a, rater_b, table
 
 LABELS = ["False", "True", "yes"]
-IS_BREACH = F.col("label") != "False"
+
+
+def is_breach():
+    return F.col("label") != "False"
+
 
 
 def rounded(df, *columns, digits=6):
@@ -48,7 +52,7 @@ SHARES_SQL = """s AS (
 
 def publication_shares(spark, d):
     rows = articles(spark, d).select("publication", "label")
-    return G.compare_shares(rows, "publication", {"all": F.lit(True), "breach": IS_BREACH})
+    return G.compare_shares(rows, "publication", {"all": F.lit(True), "breach": is_breach()})
 
 
 @query(

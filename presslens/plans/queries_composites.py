@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from presslens.operators.labelling import lines_of
 from presslens.plans import composites as P
-from presslens.plans.queries_aggregates import IS_BREACH, SHARES_SQL, rounded
+from presslens.plans.queries_aggregates import SHARES_SQL, is_breach, rounded
 from presslens.plans.queries_joins import MAX_DAYS
 from presslens.plans.registry import query
 from presslens.plans.views import articles, breaches, companies, headlines, table
@@ -140,7 +140,7 @@ def c03(spark, d):
 )
 def c04(spark, d):
     rows = articles(spark, d).select("publication", "label")
-    report = P.representation_report(rows, "publication", IS_BREACH, threshold=4, with_p=False)
+    report = P.representation_report(rows, "publication", is_breach(), threshold=4, with_p=False)
     return rounded(
         report.drop("standard_error"), "percentage_all", "percentage_part", "z_score", "chi_square"
     )
