@@ -72,13 +72,20 @@ def event_summary(
     headline: str,
     publication: str,
 ) -> DataFrame:
-    """Per event: first non-null attributes, article count, distinct headlines and publications."""
-    return df.groupBy(*event).agg(
-        *(first_by(c, order).alias(c) for c in attributes),
-        F.count(headline).alias("n_articles"),
+    """Per event: first non-null attributes, article count, distinct headlines and publications.
+
+    Distinct counts run in an aggregate of their own: beside them Spark would expand and
+    re-shuffle every row once per distinct column, attributes included.
+    """
+    df = df.na.drop(subset=event)
+    firsts = df.groupBy(*event).agg(
+        *(first_by(c, order).alias(c) for c in attributes), F.count(headline).alias("n_articles")
+    )
+    distinct = df.groupBy(*event).agg(
         F.count_distinct(F.col(headline)).alias("n_headlines"),
         F.count_distinct(F.col(publication)).alias("n_publications"),
     )
+    return firsts.join(distinct, event)
 
 
 def crosstab_with_total(

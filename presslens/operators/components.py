@@ -52,7 +52,7 @@ def edges_fuzzy(df: DataFrame, node: str, name: str, threshold: float = 90) -> D
     holders = keyed.groupBy("_name").agg(F.min("src").alias("dst"))
     ties = keyed.join(holders, "_name").filter("src != dst").select("src", "dst")
     names = holders.select(F.col("_name").alias("name"))
-    matches = match_names(names, names, threshold).filter("a < b")
+    matches = match_names(names, None, threshold).filter("a != b")
     near = (
         matches.join(holders.select(F.col("_name").alias("a"), F.col("dst").alias("src")), "a")
         .join(holders.select(F.col("_name").alias("b"), "dst"), "b")

@@ -49,75 +49,77 @@ def _allowed(total: Column, threshold: float) -> Column:
     return F.floor(total * (100 - threshold) / 100 + 1e-9).cast("int")
 
 
-def _piece_bounds(length: Column, pieces: Column, i: Column) -> tuple[Column, Column]:
-    """0-based start and size of piece i; the last pieces take the extra characters."""
-    small = F.floor(length / pieces).cast("int")
-    n_small = pieces - length % pieces
-    start = i * small + F.greatest(i - n_small, F.lit(0))
-    return start, F.when(i < n_small, small).otherwise(small + 1)
+def _pieces(names: DataFrame, threshold: float, partner: str) -> DataFrame:
+    """One row per name, partner length and piece of the shorter of the two.
 
-
-def _length_range(length: Column, threshold: float, longer: bool) -> Column:
-    """Lengths a partner may have, on the longer or on the shorter side."""
+    `partner` says which side the other name is on. The rows come from explodes, so every
+    derived number is computed once and stays in generated code.
+    """
+    length = F.length("name")
     stretch = (200 - threshold) / threshold
-    if longer:
-        return F.sequence(length, F.floor(length * stretch + 1e-9).cast("int"))
-    return F.sequence(F.ceil(length / stretch - 1e-9).cast("int"), length)
+    if partner == "long":
+        others = F.sequence(length, F.floor(length * stretch + 1e-9).cast("int"))
+        out = names.select("name", length.alias("len_short"), F.explode(others).alias("len_long"))
+    else:
+        others = F.sequence(F.ceil(length / stretch - 1e-9).cast("int"), length)
+        out = names.select("name", F.explode(others).alias("len_short"), length.alias("len_long"))
+    changes = _allowed(F.col("len_short") + F.col("len_long"), threshold)
+    out = out.withColumn("changes", changes).filter("changes >= len_long - len_short")
+    out = out.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("changes"))))
+    # The last pieces take the extra characters.
+    pieces = F.col("changes") + 1
+    small = F.floor(F.col("len_short") / pieces).cast("int")
+    n_small = pieces - F.col("len_short") % pieces
+    start = F.col("piece") * small + F.greatest(F.col("piece") - n_small, F.lit(0))
+    size = F.when(F.col("piece") < n_small, small).otherwise(small + 1)
+    return out.select("name", "len_short", "len_long", "changes", "piece", start.alias("start"), size.alias("size"))
 
 
 def _short_signatures(names: DataFrame, threshold: float) -> DataFrame:
-    length = F.length("name")
-    out = names.withColumn("len_long", F.explode(_length_range(length, threshold, True)))
-    out = out.withColumn("pieces", _allowed(length + F.col("len_long"), threshold) + 1)
-    out = out.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    start, size = _piece_bounds(length, F.col("pieces"), F.col("piece"))
-    return out.select(
+    return _pieces(names, threshold, "long").select(
         F.col("name").alias("short"),
-        length.alias("len_short"),
+        "len_short",
         "len_long",
         "piece",
-        F.substring(F.col("name"), start + 1, size).alias("text"),
+        F.substring(F.col("name"), F.col("start") + 1, F.col("size")).alias("text"),
     )
 
 
 def _long_signatures(names: DataFrame, threshold: float) -> DataFrame:
-    length = F.length("name")
-    out = names.withColumn("len_short", F.explode(_length_range(length, threshold, False)))
-    out = out.withColumn("pieces", _allowed(length + F.col("len_short"), threshold) + 1)
-    out = out.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    start, size = _piece_bounds(F.col("len_short"), F.col("pieces"), F.col("piece"))
-    out = out.withColumns({"_start": start, "_size": size})
-    extra = length - F.col("len_short")
-    left = F.col("pieces") - 1 - F.col("piece")  # changes left behind the piece
-    shifts = F.filter(
-        F.sequence(-F.col("piece"), F.col("piece"), F.lit(2)),
-        lambda s: (F.abs(extra - s) <= left)
-        & (F.col("_start") + s >= 0)
-        & (F.col("_start") + s + F.col("_size") <= length),
-    )
-    texts = F.array_distinct(
-        F.transform(
-            shifts, lambda s: F.substring(F.col("name"), F.col("_start") + s + 1, F.col("_size"))
-        )
-    )
+    out = _pieces(names, threshold, "short")
+    extra = F.col("len_long") - F.col("len_short")
+    behind = F.col("changes") - F.col("piece")
+    low = F.greatest(-F.col("piece"), extra - behind, -F.col("start"))
+    high = F.least(F.col("piece"), extra + behind, F.col("len_long") - F.col("size") - F.col("start"))
+    # Shifts have the parity of the piece number.
+    first = low + F.pmod(low - F.col("piece"), F.lit(2))
+    out = out.select("*", first.alias("first"), high.alias("last")).filter("first <= last")
+    out = out.withColumn("shift", F.explode(F.sequence("first", "last", F.lit(2))))
     return out.select(
         F.col("name").alias("long"),
         "len_short",
-        length.alias("len_long"),
+        "len_long",
         "piece",
-        F.explode(texts).alias("text"),
+        F.substring(F.col("name"), F.col("start") + F.col("shift") + 1, F.col("size")).alias("text"),
     )
 
 
-def match_names(a: DataFrame, b: DataFrame, threshold: float = 90) -> DataFrame:
+def _distinct_names(names: DataFrame) -> DataFrame:
+    """Distinct non-empty names on a fixed number of partitions: a name is small but grows
+    into many pieces, so partitions must not be merged by size before that."""
+    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return names.select("name").filter("name != ''").distinct().repartition(parts, "name")
+
+
+def match_names(a: DataFrame, b: DataFrame | None, threshold: float = 90) -> DataFrame:
     """(a, b, score) for all pairs of distinct non-empty names with ratio >= threshold.
 
-    Both inputs have one column `name`, already reduced to sorted tokens.
+    Inputs have one column `name`, already reduced to sorted tokens. Without b the names of
+    a are matched among themselves, each pair once with a no longer than b.
     """
     if threshold < MIN_THRESHOLD:
         raise ValueError(f"threshold must be at least {MIN_THRESHOLD}")
-    a = a.select("name").filter("name != ''").distinct()
-    b = b.select("name").filter("name != ''").distinct()
+    a = _distinct_names(a)
     on = ["len_short", "len_long", "piece", "text"]
 
     def candidates(short: DataFrame, long: DataFrame) -> DataFrame:
@@ -127,9 +129,14 @@ def match_names(a: DataFrame, b: DataFrame, threshold: float = 90) -> DataFrame:
         limit = _allowed(F.col("len_short") + F.col("len_long"), threshold)
         return pairs.filter(F.levenshtein("short", "long") <= limit).select("short", "long")
 
-    forward = candidates(a, b).select(F.col("short").alias("a"), F.col("long").alias("b"))
-    backward = candidates(b, a).select(F.col("long").alias("a"), F.col("short").alias("b"))
-    pairs = forward.union(backward).distinct()
+    if b is None:
+        pairs = candidates(a, a).select(F.col("short").alias("a"), F.col("long").alias("b"))
+    else:
+        b = _distinct_names(b)
+        forward = candidates(a, b).select(F.col("short").alias("a"), F.col("long").alias("b"))
+        backward = candidates(b, a).select(F.col("long").alias("a"), F.col("short").alias("b"))
+        pairs = forward.union(backward)
+    pairs = pairs.distinct()
     scored = pairs.withColumn("score", indel_ratio(F.col("a"), F.col("b")))
     return scored.filter(F.col("score") >= threshold)
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Rank error of the sketch is at most rows / SKETCH_ACCURACY.
 SKETCH_ACCURACY = 10_000
@@ -31,29 +33,52 @@ def exact_percentiles(
         F.percentile_approx("_x", lower, SKETCH_ACCURACY).alias("_lo"),
         F.percentile_approx("_x", upper, SKETCH_ACCURACY).alias("_hi"),
     )
-    brackets = sketch.select(*keys, "_n", F.posexplode("_lo").alias("_i", "_low"))
-
     if groups:
         marked = rows.join(sketch.select(*keys, "_lo", "_hi"), keys)
     else:
         marked = rows.withColumns({c: sketch.select(c).scalar() for c in ("_lo", "_hi")})
-    tagged = marked.select(
-        *keys, "_x", F.posexplode(F.arrays_zip("_lo", "_hi")).alias("_i", "_b")
-    ).select(*keys, "_x", "_i", F.col("_b._lo").alias("_lo"), F.col("_b._hi").alias("_hi"))
-    inside = F.col("_x").between(F.col("_lo"), F.col("_hi"))
-    outer = tagged.groupBy(*keys, "_i").agg(
-        F.count(F.when(F.col("_x") < F.col("_lo"), 1)).alias("_below"),
-        F.max(F.when(F.col("_x") < F.col("_lo"), F.col("_x"))).alias("_prev"),
-        F.min(F.when(F.col("_x") > F.col("_hi"), F.col("_x"))).alias("_next"),
+
+    x = F.col("_x")
+    ranges = [(F.col("_lo")[i], F.col("_hi")[i]) for i in range(len(probs))]
+    beyond = []
+    for i, (low, high) in enumerate(ranges):
+        beyond += [
+            F.count_if(x < low).alias(f"_below{i}"),
+            F.max(F.when(x < low, x)).alias(f"_prev{i}"),
+            F.min(F.when(x > high, x)).alias(f"_next{i}"),
+        ]
+    outer = marked.groupBy(*keys).agg(*beyond).select(
+        *keys,
+        F.inline(
+            F.array(
+                *(
+                    F.struct(
+                        F.lit(i).alias("_i"),
+                        *(F.col(f"_{c}{i}").alias(f"_{c}") for c in ("below", "prev", "next")),
+                    )
+                    for i in range(len(probs))
+                )
+            )
+        ),
+    )
+    inside = [x.between(low, high) for low, high in ranges]
+    found = F.array_compact(F.array(*(F.when(c, F.lit(i)) for i, c in enumerate(inside))))
+    freq = (
+        marked.filter(reduce(Column.__or__, inside))
+        .select(*keys, "_x", F.explode(found).alias("_i"))
+        .groupBy(*keys, "_i", "_x")
+        .agg(F.count("*").alias("_f"))
     )
-    freq = tagged.filter(inside).groupBy(*keys, "_i", "_x").agg(F.count("*").alias("_f"))
     running = Window.partitionBy(*keys, "_i").orderBy("_x")
     ranked = freq.withColumn("_upto", F.sum("_f").over(running))
 
-    meta = brackets.select(*keys, "_i", "_n").join(outer, [*keys, "_i"])
+    # A constant key would turn the join of the two one-row tables into a nested loop.
+    counted = outer.join(sketch.select(*keys, "_n"), keys) if groups else outer.withColumn(
+        "_n", sketch.select("_n").scalar()
+    )
     p = F.element_at(F.array(*(F.lit(v) for v in probs)), F.col("_i") + 1)
     position = p * (F.col("_n") - 1)
-    meta = meta.withColumns(
+    meta = counted.withColumns(
         {
             "_k0": F.floor(position),
             "_k1": F.ceil(position),
