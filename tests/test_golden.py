@@ -6,8 +6,9 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from presslens.functions import tails, text as X
-from presslens.operators import agreement, aggregates, bins, cleaning, dedup, joins, labelling
+from presslens.functions import categories, tails, text as X
+from presslens.operators import agreement, aggregates, bins, classifier, cleaning, dedup, joins
+from presslens.operators import labelling
 from presslens.operators import ranking, stats, synthetic
 
 
@@ -205,3 +206,35 @@ def test_two_level_totals_add_records_once(spark):
     df = spark.createDataFrame([("p", "e", 10), ("p", "e", 10), ("p", "f", 5)], "p string, e string, r long")
     got = aggregates.two_level_totals(df, "p", "e", "r", "records", "articles").first()
     assert (got.records, got.articles) == (15, 3)
+
+
+def test_organisation_types_by_sector(spark):
+    types = categories.lookup(categories.ORG_TYPES_BY_SECTOR)
+    df = spark.createDataFrame([("web, gaming",), ("hotel",), ("unheard of",)], "t string")
+    assert [r.s for r in cleaning.recode(df, "t", types, out="s").collect()] == ["Technology", "Retail", None]
+    kept = cleaning.recode(df, "t", categories.lookup(categories.SECTOR_NAMES), out="s", keep=True)
+    assert [r.s for r in kept.collect()] == ["Technology", "hotel", "unheard of"]
+
+
+def test_sensitivity_names_and_record_ranges(spark):
+    df = spark.createDataFrame([(3.0, 999_999), (7.0, 1_000_000)], "s double, n long")
+    named = cleaning.recode(df, "s", categories.SENSITIVITY_NAMES)
+    assert [r.s for r in named.collect()] == ["Credit card information", None]
+    label = bins.bin_edges(F.col("n"), categories.RECORDS_LOST_EDGES, categories.RECORDS_LOST_LABELS)
+    assert [r.b for r in df.select(label.alias("b")).collect()] == ["100K-1M", "1M-2.5M"]
+
+
+def test_size_ranges_sort_by_size(spark):
+    df = spark.createDataFrame([("10001+",), ("51 - 200",), ("1 - 10",), ("?",)], "size string")
+    ordered = ranking.sort_by_ordinal(df, "size", categories.SIZE_RANGES)
+    assert [r.size for r in ordered.collect()] == ["1 - 10", "51 - 200", "10001+", "?"]
+
+
+def test_text_classifier_learns_from_words(spark):
+    data = [(f"data breach number {i}", True) for i in range(30)]
+    data += [(f"cookie recipe number {i}", False) for i in range(30)]
+    df = spark.createDataFrame(data, "text string, breach boolean")
+    model = classifier.train_text_classifier(df, ["breach"], text="text", max_iter=10)
+    assert model.predict(df).filter("breach = breach_pred").count() == 60
+    with pytest.raises(ValueError, match="one class"):
+        classifier.train_text_classifier(df.filter("breach"), ["breach"], text="text")
