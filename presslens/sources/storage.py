@@ -2,26 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
-_local_roots: dict[str, str] = {}
 
 
 def storage_root(spark: SparkSession) -> str:
-    """Folder named by the session; a temporary one only for unset local sessions."""
+    """Folder named by `spark.checkpoint.dir`; where that is unset, one below the warehouse,
+    which a cluster keeps in shared storage."""
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if root:
         return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-    if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="presslens-")
-    return _local_roots[context.applicationId]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -29,6 +23,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{storage_root(spark)}/presslens/{label}-{uuid.uuid4().hex}"
 
 
+def write_table(df: DataFrame, label: str) -> DataFrame:
+    """Write df as Parquet under the shared folder and read it back."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that lost executors do not replay the whole history."""
     context = df.sparkSession.sparkContext
