@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from presslens.llm import decontamination, exact_dedup, mixing, near_dedup
+from presslens.llm import decontamination, exact_dedup, language, mixing, near_dedup, quality
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +55,16 @@ def op7(spark: SparkSession, d: str) -> DataFrame:
 )
 def op8(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, d, "documents"))
+
+
+@query("op2_quality")
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    out = quality.scored(docs.select("doc_id", "text"), labels)
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op6_language")
+def op6(spark: SparkSession, d: str) -> DataFrame:
+    out = language.identified(table(spark, d, "documents").select("doc_id", "text", "lang"))
+    return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
