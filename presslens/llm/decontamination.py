@@ -216,6 +216,21 @@ def tilings(
     return out
 
 
+def _leak_test(shared, min_tile: int, coverage: float):
+    @F.arrow_udf(BooleanType())
+    def leaks(text: pa.Array) -> pa.Array:
+        flags = np.zeros(len(text), bool)
+        done = 0
+        batch = pa.RecordBatch.from_arrays([text], names=["text"])
+        for part, texts in textkit.slices(batch, "text"):
+            for doc, *_ in matches(shared.value, texts, min_tile, coverage):
+                flags[done + doc] = True
+            done += part.num_rows
+        return pa.array(flags)
+
+    return leaks
+
+
 def without_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -226,17 +241,5 @@ def without_leaks(
 ) -> DataFrame:
     """Documents that contain no benchmark item, with all their columns."""
     for shared in _blocks(benchmark, seed, block_bytes):
-
-        @F.arrow_udf(BooleanType())
-        def leaks(text: pa.Array, shared=shared) -> pa.Array:
-            flags = np.zeros(len(text), bool)
-            done = 0
-            batch = pa.RecordBatch.from_arrays([text], names=["text"])
-            for part, texts in textkit.slices(batch, "text"):
-                for doc, *_ in matches(shared.value, texts, min_tile, coverage):
-                    flags[done + doc] = True
-                done += part.num_rows
-            return pa.array(flags)
-
-        docs = docs.filter(~leaks("text"))
+        docs = docs.filter(~_leak_test(shared, min_tile, coverage)("text"))
     return docs

@@ -41,6 +41,10 @@ def n_words(text: Column | str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _row_hash(docs: DataFrame, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), *docs.columns)
+
+
 def source_targets(sources: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """(source, source_size, target) of sources (source, source_size), one row each.
 
@@ -149,12 +153,11 @@ def mixture(
 
     `taken` is the words that the mix takes from the document, repeats counted.
     """
-    order = F.xxhash64(F.lit(seed), *docs.columns)
     sized = docs.select(
         *(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)),
         "source",
         n_words("text").alias("size"),
-        order.alias("_order"),
+        _row_hash(docs, seed).alias("_order"),
     )
     sized = write_table(sized, "sized")
     lengths = write_table(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "lengths")
@@ -214,13 +217,26 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
     return left.join(right, condition, how).drop(*names.values())
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
+def mix(docs: DataFrame, seed: int = 42, **options) -> DataFrame:
     """Documents of the mix with size, source_size, target, taken and copies beside their columns.
 
     A row stands for `copies` copies; documents without a copy are gone. Documents of size 0
-    stay once.
+    stay once. Decisions are made on thin rows and meet the texts once, by a hash of the
+    whole row; equal rows share the copies of that hash out among themselves.
     """
     clash = {"size", "source_size", "target", "taken", "copies"} & set(docs.columns)
-    if clash:
-        docs = docs.drop(*clash)
-    return mixture(docs, list(docs.columns), **options).filter("copies > 0").drop("_row")
+    docs = docs.drop(*clash)
+    decided = mixture(docs, [], seed=seed, **options).groupBy("_row").agg(
+        F.first("size").alias("size"),
+        F.first("source_size").alias("source_size"),
+        F.first("target").alias("target"),
+        F.sum("copies").alias("_copies"),
+        F.count("*").alias("_rows"),
+    )
+    decided = write_table(decided.filter("_copies > 0"), "decided")
+    rows = docs.withColumn("_row", _row_hash(docs, seed)).join(decided, "_row")
+    nth = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
+    extra = (nth <= F.col("_copies") % F.col("_rows")).cast("long")
+    rows = rows.withColumn("copies", F.floor(F.col("_copies") / F.col("_rows")) + extra)
+    rows = rows.withColumn("taken", F.col("size") * F.col("copies")).filter("copies > 0")
+    return rows.drop("_row", "_copies", "_rows")

@@ -1,7 +1,8 @@
 """Document quality by logistic regression on hashed word n-grams.
 
 Tokens are runs of letters and digits, and single other characters; one and two tokens in a
-row are features, hashed into 2**bits weights. A document's value of a feature is its count
+row are features, hashed into 2**bits weights; a token followed by itself is one feature whatever
+the token. A document's value of a feature is its count
 over the root of the number of tokens. Training follows the regularised leader (FTRL with
 L1 and L2) document by document over at most `max_rows` labelled documents, chosen by a
 hash of the id; it is the only step in one task, and its input is bounded by that parameter.
@@ -40,6 +41,7 @@ def features(texts: list[bytes], bits: int) -> list[np.ndarray]:
     shift = np.uint64(64 - bits)
     single = (words >> shift).astype(np.int32)
     double = (textkit.ngram_hashes(words, 2) >> shift).astype(np.int32)
+    double[words[1:] == words[:-1]] = 0
     return [
         np.concatenate((single[s:e], double[s : max(s, e - 1)])) for s, e in zip(at[:-1], at[1:])
     ]
