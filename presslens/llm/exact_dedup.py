@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BinaryType, BooleanType
+from pyspark.sql.types import BinaryType, LongType
 
 from presslens.llm import textkit
 from presslens.sources.storage import write_table
@@ -31,6 +31,7 @@ PROBES = 4
 CELLS_PER_ROW = 16
 SEGMENT_BITS = 19  # cells of a segment: 64 KB once packed
 MAX_FILTER_BYTES = 256 << 20
+RUN_BYTES = 4 << 20  # hashes counted at a time
 
 
 @F.arrow_udf(BinaryType())
@@ -39,22 +40,19 @@ def normalised_sha256(text: pa.Array) -> pa.Array:
     return pa.array([hashlib.sha256(t.lower()).digest() for t in textkit.as_bytes(text)], pa.binary())
 
 
-def _cells(digests: pa.Array, bits: int) -> np.ndarray:
-    """PROBES distinct cells per digest, as a matrix."""
-    words = np.frombuffer(b"".join(digests.to_pylist()), "<u8").reshape(-1, 4)
-    step = words[:, 1:2] | np.uint64(1)
-    probes = words[:, :1] + np.arange(PROBES, dtype=np.uint64) * step
+def _cells(packed: list[bytes], width: int, bits: int) -> np.ndarray:
+    """PROBES distinct cells of each hash; hashes are records of `width` bytes, packed."""
+    words = np.frombuffer(b"".join(packed), "<u8").reshape(-1, width // 8)
+    step = words[:, 1:2] if width > 8 else textkit.mix(words)
+    probes = words[:, :1] + np.arange(PROBES, dtype=np.uint64) * (step | np.uint64(1))
     return (probes & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
-def _count_cells(bits: int):
-    """Per task and segment: cells reached once and cells reached more often."""
+def _count_cells(width: int, bits: int):
+    """Per run of rows and segment: cells reached once and cells reached more often."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = [_cells(b.column(0), bits).ravel() for b in batches if b.num_rows]
-        if not cells:
-            return
-        reached, times = np.unique(np.concatenate(cells), return_counts=True)
+    def counted(packed: list[bytes]) -> Iterator[pa.RecordBatch]:
+        reached, times = np.unique(_cells(packed, width, bits), return_counts=True)
         segments = reached >> SEGMENT_BITS
         edges = np.flatnonzero(np.diff(segments)) + 1
         for part, n in zip(np.split(reached, edges), np.split(times, edges)):
@@ -62,6 +60,18 @@ def _count_cells(bits: int):
             row = [int(part[0] >> SEGMENT_BITS)], [local[n == 1].tobytes()], [local[n > 1].tobytes()]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in row], names=["segment", "once", "more"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for packed in batch.column(0).to_pylist():
+                held.append(packed)
+                size += len(packed)
+                if size > RUN_BYTES:
+                    yield from counted(held)
+                    held, size = [], 0
+        if size:
+            yield from counted(held)
+
     return run
 
 
@@ -81,41 +91,51 @@ def _merge(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class RepeatFilter:
-    """Tells which hashes possibly occur more than once."""
+    """Tells which hashes possibly occur more than once.
 
-    def __init__(self, hashes: DataFrame, column: str, max_bytes: int = MAX_FILTER_BYTES):
-        n = hashes.count()
+    `column` holds hashes of `width` bytes, one or several packed into a value; `n` is how many.
+    """
+
+    def __init__(self, rows: DataFrame, column: str, n: int, width: int = 32, max_bytes: int = MAX_FILTER_BYTES):
+        self.width = width
         most = (max_bytes * 8).bit_length() - 1
         self.bits = min(most, max(SEGMENT_BITS, (n * CELLS_PER_ROW).bit_length()))
-        parts = hashes.select(column).mapInArrow(
-            _count_cells(self.bits), "segment long, once binary, more binary"
+        parts = rows.select(column).mapInArrow(
+            _count_cells(width, self.bits), "segment long, once binary, more binary"
         )
         merged = parts.groupBy("segment").applyInArrow(_merge, "segment long, bitmap binary")
         packed = np.zeros(1 << (self.bits - 3), np.uint8)
-        width = 1 << (SEGMENT_BITS - 3)
+        size = 1 << (SEGMENT_BITS - 3)
         for row in merged.toLocalIterator():
-            packed[row.segment * width : (row.segment + 1) * width] = np.frombuffer(row.bitmap, np.uint8)
-        self.shared = hashes.sparkSession.sparkContext.broadcast(packed)
+            packed[row.segment * size : (row.segment + 1) * size] = np.frombuffer(row.bitmap, np.uint8)
+        self.shared = rows.sparkSession.sparkContext.broadcast(packed)
+
+    def repeats(self, column: str) -> Column:
+        """How many of the packed hashes possibly occur more than once."""
+        shared, bits, width = self.shared, self.bits, self.width
+
+        @F.arrow_udf(LongType())
+        def count(packed: pa.Array) -> pa.Array:
+            values = packed.to_pylist()
+            if not values:
+                return pa.array([], pa.int64())
+            at = _cells(values, width, bits)
+            hit = (shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(axis=1)
+            before = np.concatenate(([0], np.cumsum(hit)))
+            ends = np.cumsum([0, *(len(v) // width for v in values)])
+            return pa.array(before[ends[1:]] - before[ends[:-1]])
+
+        return count(F.col(column))
 
     def possibly_repeated(self, column: str) -> Column:
-        shared, bits = self.shared, self.bits
-
-        @F.arrow_udf(BooleanType())
-        def test(digests: pa.Array) -> pa.Array:
-            if len(digests) == 0:
-                return pa.array([], pa.bool_())
-            at = _cells(digests, bits)
-            hit = shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
-            return pa.array(hit.all(axis=1))
-
-        return test(F.col(column))
+        return self.repeats(column) > 0
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 for every row."""
     hashed = docs.select(F.col(id_col).alias("doc_id"), normalised_sha256(text_col).alias("sha"))
     hashed = write_table(hashed, "hashes")
-    tested = hashed.withColumn("again", RepeatFilter(hashed, "sha").possibly_repeated("sha"))
+    tested = hashed.withColumn("again", RepeatFilter(hashed, "sha", hashed.count()).possibly_repeated("sha"))
     tested = write_table(tested, "tested")
     single = tested.filter("not again").select(
         "doc_id", "sha", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")
@@ -138,7 +158,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     marked = docs.withColumn("_sha", normalised_sha256(text_col))
     row = F.xxhash64(*docs.columns)
     thin = write_table(marked.select("_sha", F.col(id_col).alias("_id"), row.alias("_row")), "hashes")
-    filter_ = RepeatFilter(thin, "_sha")
+    filter_ = RepeatFilter(thin, "_sha", thin.count())
     again = filter_.possibly_repeated("_sha")
     winners = (
         thin.filter(again)

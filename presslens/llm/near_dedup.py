@@ -9,11 +9,16 @@ coordinates are candidate buckets; at similarity 0.8 and 32 bands of 4 a pair sh
 bucket once in 2e7, at 0.85 once in 2e10. Candidates are confirmed on the full sets of words.
 
 Only components are wanted, so a bucket does not emit its pairs. First every member meets
-the pivot of its bucket, which is linear, and the confirmed links are contracted. What is
-left are pairs of one bucket in different components: each bucket keeps its largest
-component whole and pairs the other members with all of it, in blocks of bounded size
-that spread over tasks. Every pair that shares a bucket is either inside a component by
-then or was tested, so no link is lost to a cap.
+the pivot of its bucket, which is linear, and the confirmed links are contracted. Buckets of
+more than `LARGE` members have a second pivot, the member with the smallest share of shingles
+that no other member of a large bucket has: such shingles are in no intersection, so they
+bound a member's similarity to all others, and a member with too many of them is linked
+with nobody there. (They are found by a two-count Bloom filter, whose false alarms
+only weaken the bound.) What is left are pairs of one bucket in different components: each
+bucket keeps its largest component whole and pairs the other members with all of it, in
+blocks of bounded size that spread over tasks; a pair goes on only from the first bucket it
+shares, within the bound and with near sketches. Every pair that shares a bucket is either
+inside a component by then, excluded by an exact bound, or tested: nothing is lost to a cap.
 
 Cases: a null or blank text has an empty set, is linked with nothing and kept. Rows sharing
 a doc_id are one document and linked; a row without doc_id gets a null component, takes part
@@ -28,13 +33,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BinaryType
 
 from presslens.llm import textkit
+from presslens.llm.exact_dedup import RepeatFilter
 from presslens.operators.components import connected_components
 from presslens.sources.storage import write_table
 
 BANDS, ROWS = 32, 4
 BLOCK = 2048  # members on either side of a block of pairs
+LARGE = 64  # members of a bucket from which a second pivot and the bound pay
 
 
 def fast_sketch(elements: np.ndarray, size: int) -> np.ndarray:
@@ -135,19 +143,24 @@ def _similar_sketches(least: int):
     return run
 
 
-def _block_pairs(least: int):
-    """Pairs of different components in each block, of rows sorted by block and side."""
+BLOCK_COLUMNS = ("key", "i", "j", "rep", "comp", "minor", "n", "live", "keys", "sketch")
 
-    def pairs(block: list[tuple]) -> Iterator[pa.RecordBatch]:
-        ids = np.array([r[0] for r in block])
-        comps = np.array([r[1] for r in block])
-        minor = np.array([r[2] for r in block], bool)
-        sketches = np.frombuffer(b"".join(r[3] for r in block), np.uint8).reshape(len(block), -1)
-        left = np.flatnonzero(minor)
+
+def _block_pairs(least: int, percent: int):
+    """Pairs of different components in each block, of rows sorted by block."""
+
+    def pairs(key: int, block: list[tuple]) -> Iterator[pa.RecordBatch]:
+        ids, comps, minor, n, live = (np.array(c) for c in list(zip(*block))[:5])
+        keys = np.frombuffer(b"".join(r[5] for r in block), np.int64).reshape(len(block), -1)
+        sketches = np.frombuffer(b"".join(r[6] for r in block), np.uint8).reshape(len(block), -1)
         right = np.flatnonzero(~minor)
-        for row in left:
-            other = right[comps[right] != comps[row]]
+        for row in np.flatnonzero(minor):
+            bound = np.minimum(live[row], live[right]) * (100 + percent) >= percent * (n[row] + n[right])
+            other = right[bound & (comps[right] != comps[row])]
             near = other[_matches(sketches[row], sketches[other]) >= least]
+            if len(near):
+                first = (keys[near] == keys[row]).argmax(axis=1)
+                near = near[keys[row][first] == key]
             if len(near):
                 pair = [np.minimum(ids[row], ids[near]), np.maximum(ids[row], ids[near])]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in pair], names=["a", "b"])
@@ -155,15 +168,27 @@ def _block_pairs(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, current = [], None
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("key", "i", "j", "rep", "comp", "minor", "sketch"))
-            for key, i, j, rep, comp, minor, sketch in zip(*columns):
-                if (key, i, j) != current:
+            for row in zip(*(batch.column(c).to_pylist() for c in BLOCK_COLUMNS)):
+                if row[:3] != current:
                     if block:
-                        yield from pairs(block)
-                    block, current = [], (key, i, j)
-                block.append((rep, comp, minor, sketch))
+                        yield from pairs(current[0], block)
+                    block, current = [], row[:3]
+                block.append(row[3:])
         if block:
-            yield from pairs(block)
+            yield from pairs(current[0], block)
+
+    return run
+
+
+def _packed_sets(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in textkit.slices(batch, "text"):
+                words, at = textkit.word_hashes(texts)
+                sets = [textkit.shingle_set(words[s:e], k).tobytes() for s, e in zip(at[:-1], at[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(sets, pa.binary())], names=["rep", "shingles"]
+                )
 
     return run
 
@@ -240,7 +265,7 @@ def near_duplicates(
     reps = write_table(
         linkable.join(classes, digest)
         .filter("doc_id = rep")
-        .select("doc_id", "keys", "sketch", *digest)
+        .select("doc_id", "n_shingles", "keys", "sketch", *digest)
         .dropDuplicates(["doc_id", *digest]),
         "representatives",
     )
@@ -256,13 +281,21 @@ def near_duplicates(
 
     percent_near = percent / 100
     graph = _Graph(reps, texts, k, percent, least_matches(bands * rows, percent_near))
-    stars = shared.filter("rep != pivot").select(
+    live = _live_shares(shared, texts, k, percent)
+    central = live.filter(F.col("live") * 100 >= F.col("n_set") * percent)
+    crowded = shared.filter(F.col("n") > LARGE).select("key", "rep").join(central, "rep")
+    centre = F.max(F.struct(F.col("live") / F.col("n_set"), "rep"))["rep"]
+    centres = write_table(crowded.groupBy("key").agg(centre.alias("pivot")), "centres")
+    stars = shared.select("rep", "pivot").unionByName(
+        crowded.select("key", "rep").join(centres, "key").select("rep", "pivot")
+    )
+    stars = stars.filter("rep != pivot").select(
         F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")
     )
     links = graph.confirmed(graph.similar(stars.distinct()))
     first = write_table(connected_components(nodes, links, "doc_id"), "components")
 
-    rest = graph.confirmed(_unsettled(shared, first, graph.sketches, graph.least))
+    rest = graph.confirmed(_unsettled(shared, first, reps, live, graph.least, percent))
     ends = rest
     for end in ("src", "dst"):
         names = first.select(F.col("doc_id").alias(end), F.col("component").alias("_to"))
@@ -292,12 +325,31 @@ def near_duplicates(
     )
 
 
-def _unsettled(shared: DataFrame, comps: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
-    """Distinct pairs (a, b) that share a bucket, differ in component and have near sketches."""
-    placed = write_table(
-        shared.select("key", "rep").join(comps.select(F.col("doc_id").alias("rep"), F.col("component").alias("comp")), "rep"),
-        "placed",
-    )
+def _live_shares(shared: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(rep, n_set, live): members of large buckets, their shingles and how many of these
+    possibly occur in a second one of them."""
+    members = shared.filter(F.col("n") > LARGE).select(F.col("rep").alias("doc_id")).distinct()
+    chosen = texts.join(members, "doc_id", "left_semi").select("doc_id", "text")
+    sets = write_table(chosen.mapInArrow(_packed_sets(k), "rep long, shingles binary"), "sets")
+    n = F.octet_length("shingles") / 8
+    total = int(sets.agg(F.sum(n)).first()[0] or 0)
+    live = RepeatFilter(sets, "shingles", total, width=8).repeats("shingles")
+    counted = sets.select("rep", n.cast("long").alias("n_set"), live.alias("live"))
+    # A doc_id may stand for several rows with different texts; the one with most decides.
+    best = F.max(F.struct(F.col("live") / F.col("n_set"), "n_set", "live")).alias("m")
+    return write_table(counted.groupBy("rep").agg(best).select("rep", "m.n_set", "m.live"), "live")
+
+
+def _unsettled(
+    shared: DataFrame, comps: DataFrame, reps: DataFrame, live: DataFrame, least: int, percent: int
+) -> DataFrame:
+    """Distinct pairs (a, b) that share a bucket, differ in component and may be linked."""
+    named = comps.select(F.col("doc_id").alias("rep"), F.col("component").alias("comp"))
+    placed = shared.select("key", "rep", "n").join(named, "rep").join(live, "rep", "left")
+    bounded = F.col("n") > LARGE
+    placed = placed.filter(~bounded | (F.col("live") * 100 >= F.col("n_set") * percent))
+    placed = placed.withColumn("live", F.when(bounded, F.col("live"))).drop("n_set", "n")
+    placed = write_table(placed, "placed")
     sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(
         F.sum("n").alias("total"),
@@ -313,13 +365,25 @@ def _unsettled(shared: DataFrame, comps: DataFrame, sketches: DataFrame, least:
         ),
         "mixed",
     )
-    rows = placed.join(mixed, "key").join(sketches.withColumnRenamed("doc_id", "rep"), "rep")
+    details = reps.select(
+        F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), _packed("keys").alias("keys"), "sketch"
+    )
+    rows = placed.join(mixed, "key").join(details, "rep")
+    rows = rows.withColumn("live", F.coalesce("live", "n"))
     chunk = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    right = rows.select("key", every("rows").alias("i"), chunk("cols").alias("j"), "rep", "comp", F.lit(False).alias("minor"), "sketch")
-    left = rows.filter("comp != major").select("key", chunk("rows").alias("i"), every("cols").alias("j"), "rep", "comp", F.lit(True).alias("minor"), "sketch")
-    blocks = left.unionByName(right).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return blocks.mapInArrow(_block_pairs(least), "a long, b long").distinct()
+    right = rows.withColumns({"j": chunk("cols"), "minor": F.lit(False)}).withColumn("i", every("rows"))
+    left = rows.filter("comp != major").withColumns({"i": chunk("rows"), "minor": F.lit(True)})
+    left = left.withColumn("j", every("cols"))
+    blocks = left.select(*BLOCK_COLUMNS).unionByName(right.select(*BLOCK_COLUMNS))
+    blocks = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return blocks.mapInArrow(_block_pairs(least, percent), "a long, b long").distinct()
+
+
+@F.arrow_udf(BinaryType())
+def _packed(keys: pa.Array) -> pa.Array:
+    """Band keys of each row as bytes."""
+    return pa.array([np.array(k, np.int64).tobytes() for k in keys.to_pylist()], pa.binary())
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
