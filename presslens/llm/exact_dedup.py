@@ -99,7 +99,7 @@ class RepeatFilter:
     def __init__(self, rows: DataFrame, column: str, n: int, width: int = 32, max_bytes: int = MAX_FILTER_BYTES):
         self.width = width
         most = (max_bytes * 8).bit_length() - 1
-        self.bits = min(most, max(SEGMENT_BITS, (n * CELLS_PER_ROW).bit_length()))
+        self.bits = max(SEGMENT_BITS, min(most, (n * CELLS_PER_ROW).bit_length()))
         parts = rows.select(column).mapInArrow(
             _count_cells(width, self.bits), "segment long, once binary, more binary"
         )

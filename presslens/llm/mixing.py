@@ -101,7 +101,7 @@ def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarra
     usable = (counts > 0) & (lengths > 0)
     if not usable.any():
         return extra
-    top = budget + int(lengths[usable].min())  # a nearest sum never lies beyond
+    top = budget + int(lengths[usable].max())  # the least sum over the budget lies below
     reached = np.zeros(top + 1, bool)
     reached[0] = True
     item_of = np.full(top + 1, -1, np.int32)

@@ -272,6 +272,8 @@ def train(docs: DataFrame, max_rows: int = MAX_ROWS) -> dict:
     order = F.xxhash64("doc_id", "text")
     sample = docs.filter(F.col("text").rlike("[0-9@]")).select("text").orderBy(order).limit(max_rows)
     row = sample.repartition(1).sortWithinPartitions("text").mapInArrow(_learn, "node binary, chain binary, skip binary").first()
+    if row is None:
+        return fit_factors(_Nodes())
     k = len(LABELS)
     shapes = {"node": (N_FEATURES, k), "chain": (k, k), "skip": (k, k)}
     return {n: np.frombuffer(row[n]).reshape(s) for n, s in shapes.items()}

@@ -124,7 +124,8 @@ def train(
     encoded = rows.mapInArrow(_encode(bits), "_order long, label int, features binary")
     one = encoded.repartition(1).sortWithinPartitions("_order", "label", "features")
     model = one.mapInArrow(_train(bits, epochs, alpha, beta, l1, l2), "weights binary")
-    return np.frombuffer(model.first()["weights"], np.float32)
+    row = model.first()  # none without any labelled document
+    return np.frombuffer(row["weights"], np.float32) if row else np.zeros((1 << bits) + 1, np.float32)
 
 
 def score(weights: np.ndarray, spark, text: Column | str) -> Column:
