@@ -9,6 +9,7 @@ import datetime as dt
 import decimal
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -29,6 +30,7 @@ def session(cores: int | str = 8):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="presslens-"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
