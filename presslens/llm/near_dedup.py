@@ -17,7 +17,7 @@ with nobody there. (They are found by a two-count Bloom filter, whose false alar
 only weaken the bound.) What is left are pairs of one bucket in different components: each
 bucket keeps its largest component whole and pairs the other members with all of it, in
 blocks of bounded size that spread over tasks; a pair goes on only from the first bucket it
-shares, within the bound and with near sketches. Every pair that shares a bucket is either
+shares, within the bound, with near sketches and, in a large bucket, near sets of hashes. Every pair that shares a bucket is either
 inside a component by then, excluded by an exact bound, or tested: nothing is lost to a cap.
 
 Cases: a null or blank text has an empty set, is linked with nothing and kept. Rows sharing
@@ -143,7 +143,7 @@ def _similar_sketches(least: int):
     return run
 
 
-BLOCK_COLUMNS = ("key", "i", "j", "rep", "comp", "minor", "n", "live", "keys", "sketch")
+BLOCK_COLUMNS = ("key", "i", "j", "rep", "comp", "minor", "n", "live", "keys", "sketch", "small")
 
 
 def _block_pairs(least: int, percent: int):
@@ -154,6 +154,7 @@ def _block_pairs(least: int, percent: int):
         keys = np.frombuffer(b"".join(r[5] for r in block), np.int64).reshape(len(block), -1)
         sketches = np.frombuffer(b"".join(r[6] for r in block), np.uint8).reshape(len(block), -1)
         right = np.flatnonzero(~minor)
+        sets = _local_numbers([r[7] for r in block])
         for row in np.flatnonzero(minor):
             bound = np.minimum(live[row], live[right]) * (100 + percent) >= percent * (n[row] + n[right])
             other = right[bound & (comps[right] != comps[row])]
@@ -161,6 +162,11 @@ def _block_pairs(least: int, percent: int):
             if len(near):
                 first = (keys[near] == keys[row]).argmax(axis=1)
                 near = near[keys[row][first] == key]
+            if sets and len(near):
+                held = np.zeros(sets[0], bool)
+                held[sets[1][row]] = True
+                both = np.array([held[sets[1][o]].sum() for o in near])
+                near = near[100 * both >= percent * (n[row] + n[near] - both)]
             if len(near):
                 pair = [np.minimum(ids[row], ids[near]), np.maximum(ids[row], ids[near])]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in pair], names=["a", "b"])
@@ -180,14 +186,26 @@ def _block_pairs(least: int, percent: int):
     return run
 
 
+def _local_numbers(packed: list[bytes | None]) -> tuple[int, list[np.ndarray]] | None:
+    """Shingles of each member as numbers of the block's own; None where the block has no sets."""
+    if packed[0] is None:
+        return None
+    sets = [np.frombuffer(p, np.uint32) for p in packed]
+    distinct, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+    return len(distinct), np.split(numbers, np.cumsum([len(s) for s in sets])[:-1])
+
+
 def _packed_sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in textkit.slices(batch, "text"):
                 words, at = textkit.word_hashes(texts)
-                sets = [textkit.shingle_set(words[s:e], k).tobytes() for s, e in zip(at[:-1], at[1:])]
+                sets = [textkit.shingle_set(words[s:e], k) for s, e in zip(at[:-1], at[1:])]
+                # Half a hash is enough to bound an intersection: collisions only add to it.
+                packed = [[s.tobytes() for s in sets], [s.astype(np.uint32).tobytes() for s in sets]]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sets, pa.binary())], names=["rep", "shingles"]
+                    [part.column(0), *(pa.array(p, pa.binary()) for p in packed)],
+                    names=["rep", "shingles", "small"],
                 )
 
     return run
@@ -281,7 +299,7 @@ def near_duplicates(
 
     percent_near = percent / 100
     graph = _Graph(reps, texts, k, percent, least_matches(bands * rows, percent_near))
-    live = _live_shares(shared, texts, k, percent)
+    sets, live = _live_shares(shared, texts, k)
     central = live.filter(F.col("live") * 100 >= F.col("n_set") * percent)
     crowded = shared.filter(F.col("n") > LARGE).select("key", "rep").join(central, "rep")
     centre = F.max(F.struct(F.col("live") / F.col("n_set"), "rep"))["rep"]
@@ -295,7 +313,7 @@ def near_duplicates(
     links = graph.confirmed(graph.similar(stars.distinct()))
     first = write_table(connected_components(nodes, links, "doc_id"), "components")
 
-    rest = graph.confirmed(_unsettled(shared, first, reps, live, graph.least, percent))
+    rest = graph.confirmed(_unsettled(shared, first, reps, sets, live, graph.least, percent))
     ends = rest
     for end in ("src", "dst"):
         names = first.select(F.col("doc_id").alias(end), F.col("component").alias("_to"))
@@ -325,23 +343,29 @@ def near_duplicates(
     )
 
 
-def _live_shares(shared: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """(rep, n_set, live): members of large buckets, their shingles and how many of these
-    possibly occur in a second one of them."""
+def _live_shares(shared: DataFrame, texts: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """Members of large buckets: their packed sets (rep, shingles, small), and (rep, n_set, live),
+    the number of their shingles and of those that possibly occur in a second one of them."""
     members = shared.filter(F.col("n") > LARGE).select(F.col("rep").alias("doc_id")).distinct()
     chosen = texts.join(members, "doc_id", "left_semi").select("doc_id", "text")
-    sets = write_table(chosen.mapInArrow(_packed_sets(k), "rep long, shingles binary"), "sets")
+    sets = write_table(chosen.mapInArrow(_packed_sets(k), "rep long, shingles binary, small binary"), "sets")
     n = F.octet_length("shingles") / 8
     total = int(sets.agg(F.sum(n)).first()[0] or 0)
     live = RepeatFilter(sets, "shingles", total, width=8).repeats("shingles")
     counted = sets.select("rep", n.cast("long").alias("n_set"), live.alias("live"))
     # A doc_id may stand for several rows with different texts; the one with most decides.
     best = F.max(F.struct(F.col("live") / F.col("n_set"), "n_set", "live")).alias("m")
-    return write_table(counted.groupBy("rep").agg(best).select("rep", "m.n_set", "m.live"), "live")
+    return sets, write_table(counted.groupBy("rep").agg(best).select("rep", "m.n_set", "m.live"), "live")
 
 
 def _unsettled(
-    shared: DataFrame, comps: DataFrame, reps: DataFrame, live: DataFrame, least: int, percent: int
+    shared: DataFrame,
+    comps: DataFrame,
+    reps: DataFrame,
+    sets: DataFrame,
+    live: DataFrame,
+    least: int,
+    percent: int,
 ) -> DataFrame:
     """Distinct pairs (a, b) that share a bucket, differ in component and may be linked."""
     named = comps.select(F.col("doc_id").alias("rep"), F.col("component").alias("comp"))
@@ -369,6 +393,8 @@ def _unsettled(
         F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), _packed("keys").alias("keys"), "sketch"
     )
     rows = placed.join(mixed, "key").join(details, "rep")
+    small = sets.select(F.col("rep").alias("_rep"), "small")
+    rows = rows.join(small, F.col("live").isNotNull() & (F.col("rep") == F.col("_rep")), "left")
     rows = rows.withColumn("live", F.coalesce("live", "n"))
     chunk = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
