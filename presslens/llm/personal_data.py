@@ -270,7 +270,10 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, max_rows: int = MAX_ROWS) -> dict:
     """Factors from the fixed patterns in a bounded sample of documents with digits or at signs."""
     order = F.xxhash64("doc_id", "text")
-    sample = docs.filter(F.col("text").rlike("[0-9@]")).select("text").orderBy(order).limit(max_rows)
+    known = docs.filter(F.col("text").rlike("[0-9@]")).select("text", order.alias("_order"))
+    # Only hashes meet to be ranked; at most max_rows of them are broadcast to find the texts.
+    drawn = known.select("_order").distinct().orderBy("_order").limit(max_rows)
+    sample = known.join(F.broadcast(drawn), "_order", "left_semi").select("text").distinct()
     row = sample.repartition(1).sortWithinPartitions("text").mapInArrow(_learn, "node binary, chain binary, skip binary").first()
     if row is None:
         return fit_factors(_Nodes())
