@@ -18,9 +18,12 @@ def count_by(df: DataFrame, keys: list[str], out: str = "count", dropna: bool =
 
 
 def share_of_total(counts: DataFrame, count: str, out: str = "percentage") -> DataFrame:
-    """count / sum(count) * 100. The total is a scalar subquery, not a one-task window."""
+    """count / sum(count) * 100, null where the counts add up to nothing.
+
+    The total is a scalar subquery, not a one-task window.
+    """
     total = counts.agg(F.sum(count)).scalar()
-    return counts.withColumn(out, F.col(count) / total * 100)
+    return counts.withColumn(out, F.try_divide(F.col(count), total) * 100)
 
 
 def compare_shares(
@@ -107,11 +110,11 @@ def conditional_sums(
 
 
 def avg_per_event(df: DataFrame, group: str, count: str, event: str) -> DataFrame:
-    """Mentions per event for each group."""
+    """Mentions per event for each group; null for a group without events."""
     out = df.na.drop(subset=[group]).groupBy(group).agg(
         F.sum(count).alias("total_articles"), F.count_distinct(F.col(event)).alias("n_events")
     )
-    return out.withColumn("articles_per_event", F.col("total_articles") / F.col("n_events"))
+    return out.withColumn("articles_per_event", F.try_divide("total_articles", "n_events"))
 
 
 def lifetime(df: DataFrame, keys: list[str], first: str, last: str) -> DataFrame:

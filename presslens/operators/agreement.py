@@ -35,7 +35,7 @@ def fleiss_pivot(
 
 
 def fleiss_kappa(table: DataFrame, labels: list[str]) -> DataFrame:
-    """Kappa of an item by label table with equal row sums; one pass."""
+    """Kappa of an item by label table with equal row sums; one pass, null without ratings."""
     cells = [F.col(f"`{v}`").cast("double") for v in labels]
     ratings = sum(cells, F.lit(0.0))
     squares = sum((c * c for c in cells), F.lit(0.0))
@@ -45,7 +45,8 @@ def fleiss_kappa(table: DataFrame, labels: list[str]) -> DataFrame:
         F.sum(ratings).alias("_all"),
         *(F.sum(c).alias(f"_s{i}") for i, c in enumerate(cells)),
     )
-    chance = sum((F.pow(F.col(f"_s{i}") / F.col("_all"), F.lit(2)) for i in range(len(labels))), F.lit(0.0))
+    shares = [F.try_divide(f"_s{i}", "_all") for i in range(len(labels))]
+    chance = sum((F.pow(s, F.lit(2)) for s in shares), F.lit(0.0))
     return sums.select(F.try_divide(F.col("_p") - chance, 1 - chance).alias("kappa"))
 
 

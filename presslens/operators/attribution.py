@@ -86,10 +86,12 @@ def attribute_in_window_left(
     mention_date: str,
     max_days: int,
     keep_uncovered: bool = True,
-    null_safe: bool = True,
+    null_safe: bool = False,
 ) -> DataFrame:
     """attribute_in_window plus the events without a mention, mention columns null.
 
+    With null_safe, events and mentions without an entity belong together.
+
     keep_uncovered=False drops an event that has mentions, but none inside the window.
     """
     pairs = attribute_in_window(

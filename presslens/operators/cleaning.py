@@ -47,13 +47,16 @@ def fill_null(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 
 
 def sentinel_to_null(df: DataFrame, col: str, sentinel=-1) -> DataFrame:
-    return df.withColumn(col, F.nullif(F.col(col), F.lit(sentinel)))
+    """Null instead of the sentinel, which is compared in the type of the column."""
+    value = F.lit(sentinel).try_cast(df.schema[col].dataType)
+    return df.withColumn(col, F.nullif(F.col(col), value))
 
 
 def digits_only_rows(df: DataFrame, columns: Iterable[str], cast: str = "bigint") -> DataFrame:
+    """Rows whose listed cells are digits only, as numbers; null beyond the type's range."""
     for name in columns:
         digits = F.col(name).cast("string").rlike("^[0-9]+$")
-        df = df.filter(digits).withColumn(name, F.col(name).cast(cast))
+        df = df.filter(digits).withColumn(name, F.col(name).try_cast(cast))
     return df
 
 

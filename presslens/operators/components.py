@@ -66,18 +66,26 @@ def edges_by_predicate(
     node: str,
     predicate,
     block: list[str],
-    max_block: int = 10_000,
+    chunk: int = 2048,
 ) -> DataFrame:
-    """Any predicate `f(a, b) -> Column` over pairs that share a block.
+    """Any predicate `f(a, b) -> Column` over pairs that share a block (a candidate key).
 
-    Pairs grow with the square of a block, so block sizes are checked first and a larger
-    block is an error; nothing is dropped.
+    Every pair of a block is tested, which grows with its square. A block is cut into chunks
+    of about `chunk` rows, and each pair of chunks is a join key of its own, so one large
+    block spreads over many tasks.
     """
-    largest = df.groupBy(*block).count().agg(F.max("count")).first()[0] or 0
-    if largest > max_block:
-        raise ValueError(f"a block holds {largest} rows, more than {max_block}; refine the block key")
-    a, b = df.alias("a"), df.alias("b")
+    if not block:
+        raise ValueError("a candidate key is needed")
+    sizes = df.groupBy(*block).agg(F.ceil(F.count("*") / chunk).cast("int").alias("_chunks"))
+    sizes = sizes.toDF(*(f"_b{i}" for i in range(len(block))), "_chunks")
+    known = [F.col(c).eqNullSafe(F.col(f"_b{i}")) for i, c in enumerate(block)]
+    placed = df.join(sizes, known).drop(*(f"_b{i}" for i in range(len(block))))
+    own = F.pmod(F.xxhash64(node), F.col("_chunks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
+    a = placed.withColumn("_i", own).withColumn("_j", every).alias("a")
+    b = placed.withColumn("_j", own).withColumn("_i", every).alias("b")
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in block]
+    same += [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("_i", "_j")]
     condition = predicate(lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}"))
     for test in same:
         condition = test & condition

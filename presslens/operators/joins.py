@@ -31,9 +31,16 @@ def join_normalised(
 def left_join_normalised(
     left: DataFrame, right: DataFrame, left_on: str, right_on: str, match_empty: bool = False
 ) -> DataFrame:
-    """join_normalised keeping every left row."""
-    condition = _normalised_condition(left, right, left_on, right_on, match_empty)
-    return left.join(right, condition, "left")
+    """join_normalised keeping every left row.
+
+    A null name normalises to nothing, as one of punctuation does. Left rows that can match nothing get a key of their own (no normalised name holds a
+    zero character), so they are spread over the tasks of the join.
+    """
+    key = normalise_name(left[left_on])
+    if not match_empty:
+        row = F.xxhash64(*(left[c] for c in left.columns)).cast("string")
+        key = F.when(key != "", key).otherwise(F.concat(F.lit("\0"), row))
+    return left.join(right, key == normalise_name(right[right_on]), "left")
 
 
 def join_ambiguous_names(
@@ -162,19 +169,19 @@ def overlap_counts(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def broadcast_lookup(
-    df: DataFrame, lookup: DataFrame, on: list[str], max_rows: int = 100_000
-) -> DataFrame:
-    """Left join to a lookup table; broadcast only if its counted size allows."""
-    small = lookup.limit(max_rows + 1).count() <= max_rows
-    return df.join(F.broadcast(lookup) if small else lookup, on, "left")
+def broadcast_lookup(df: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
+    """Left join to a lookup table; Spark broadcasts it if its measured bytes allow."""
+    return df.join(lookup, on, "left")
 
 
 def ratio_by_key(
     part: DataFrame, whole: DataFrame, key: str, part_count: str, whole_count: str
 ) -> DataFrame:
-    """Share of part in whole per key, also as percent text (half-even rounding)."""
-    ratio = F.coalesce(F.col(part_count), F.lit(0)) / F.col(whole_count)
+    """Share of part in whole per key, also as percent text (half-even rounding).
+
+    Both are null where the whole is 0.
+    """
+    ratio = F.try_divide(F.coalesce(F.col(part_count), F.lit(0)), F.col(whole_count))
     return (
         whole.join(part, key, "left")
         .na.fill({part_count: 0})

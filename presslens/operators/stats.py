@@ -21,7 +21,7 @@ def z_test_shares(
     total = shares.agg(F.sum(observed_count)).scalar()
     expected = F.col(expected_pct) / 100
     observed = F.col(observed_pct) / 100
-    out = shares.withColumn("standard_error", F.sqrt(expected * (1 - expected) / total))
+    out = shares.withColumn("standard_error", F.sqrt(F.try_divide(expected * (1 - expected), total)))
     out = out.withColumn(
         "z_score", F.try_divide(observed - expected, F.col("standard_error"))
     )
@@ -41,49 +41,60 @@ def chi_square_gof(
     """Goodness of fit of observed counts to expected weights: statistic, df, p.
 
     Weights are scaled to the observed total; with rescale=False differing totals raise
-    inside the job.
+    inside the job. A category without weight adds nothing if nothing was observed, else the
+    statistic is infinite and p is 0. Without any weight the statistic is null.
     """
     sums = shares.agg(F.sum(observed).alias("o"), F.sum(expected_weight).alias("e"))
     total_o = sums.select("o").scalar()
     total_e = sums.select("e").scalar()
     weight = F.col(expected_weight).cast("double")
     if rescale:
-        expected = weight * total_o / total_e
+        expected = F.try_divide(weight * total_o, total_e)
     else:
         equal = F.abs(total_o - total_e) <= F.abs(total_e) * 1e-8
         expected = F.when(equal, weight).otherwise(
             F.raise_error(F.lit("observed and expected totals differ"))
         )
     diff = F.col(observed) - expected
-    out = shares.agg(
-        F.sum(diff * diff / expected).alias("statistic"), (F.count("*") - 1).alias("df")
+    weightless = F.when(diff == 0, 0.0).otherwise(float("inf"))
+    term = F.when(expected == 0, weightless).otherwise(F.try_divide(diff * diff, expected))
+    out = shares.agg(F.sum(term).alias("statistic"), (F.count("*") - 1).alias("df"))
+    if not with_p:
+        return out
+    finite = F.when(F.col("statistic") < float("inf"), F.col("statistic"))
+    p_value = F.when(F.col("statistic") == float("inf"), 0.0).otherwise(
+        chi_square_p_value(finite, F.col("df"))
     )
-    return out.withColumn("p_value", chi_square_p_value(F.col("statistic"), F.col("df"))) if with_p else out
+    return out.withColumn("p_value", p_value)
 
 
 def complement_shares(
     shares: DataFrame, all_count: str, part_count: str, out: str = "rest"
 ) -> DataFrame:
-    """all - part per category and its share of the summed difference."""
+    """all - part per category and its share of the summed difference (null if that is 0)."""
     rest = shares.withColumn(f"count_{out}", F.col(all_count) - F.col(part_count))
     total = rest.agg(F.sum(f"count_{out}")).scalar()
-    return rest.withColumn(f"percentage_{out}", F.col(f"count_{out}") / total * 100)
+    return rest.withColumn(f"percentage_{out}", F.try_divide(F.col(f"count_{out}"), total) * 100)
 
 
 def wald_margin(percentage: Column, n: Column, z: float = 1.96) -> Column:
-    """Half width of the interval of a percentage with n observations, in points."""
+    """Half width of the interval of a percentage with n observations, in points; null if n is 0."""
     p = percentage / 100
-    return z * F.sqrt(p * (1 - p) / n) * 100
+    return z * F.sqrt(F.try_divide(p * (1 - p), n)) * 100
 
 
 def correlate_regress(
     df: DataFrame, x: str, y: str, groups: list[str] | None = None, with_p: bool = True
 ) -> DataFrame:
-    """Pearson r, slope, intercept, r squared, slope standard error and p in one pass."""
+    """Pearson r, slope, intercept, r squared, slope standard error and p in one pass.
+
+    A constant x or fewer than three points give a null standard error and p; points on a
+    sloping line give p 0.
+    """
     yc, xc = F.col(y).cast("double"), F.col(x).cast("double")
     out = df.groupBy(*(groups or [])).agg(
         F.regr_count(yc, xc).alias("n"),
-        F.corr(xc, yc).alias("r"),
+        F.regr_sxy(yc, xc).alias("_sxy"),
         F.regr_slope(yc, xc).alias("slope"),
         F.regr_intercept(yc, xc).alias("intercept"),
         F.regr_r2(yc, xc).alias("r2"),
@@ -91,14 +102,17 @@ def correlate_regress(
         F.regr_syy(yc, xc).alias("_syy"),
     )
     df_resid = F.col("n") - 2
-    out = out.withColumn(
-        "stderr", F.sqrt((1 - F.col("r2")) * F.col("_syy") / F.col("_sxx") / df_resid)
-    ).drop("_sxx", "_syy")
+    unexplained = F.greatest(1 - F.col("r2"), F.lit(0.0)) * F.col("_syy")
+    variance = F.try_divide(F.try_divide(unexplained, F.col("_sxx")), df_resid)
+    # corr() itself fails on a constant column.
+    r = F.try_divide(F.col("_sxy"), F.sqrt(F.col("_sxx") * F.col("_syy")))
+    measures = [r.alias("r"), "slope", "intercept", "r2", F.sqrt(variance).alias("stderr")]
+    out = out.select(*(groups or []), "n", *measures)
     if not with_p:
         return out
-    return out.withColumn(
-        "p_value", student_p_value(F.try_divide(F.col("slope"), F.col("stderr")), df_resid)
-    )
+    exact = (F.col("stderr") == 0) & (F.col("slope") != 0)
+    p_value = student_p_value(F.try_divide(F.col("slope"), F.col("stderr")), df_resid)
+    return out.withColumn("p_value", F.when(exact, 0.0).otherwise(p_value))
 
 
 def correlate_filtered(
@@ -148,6 +162,8 @@ def kde(
 ) -> DataFrame:
     """Gaussian kernel density on a fixed grid; factor n^(-1/5) unless given.
 
+    A constant sample or a single value has no bandwidth and gets null densities.
+
     The grid is a constant array inside one aggregate: partial sums per grid point are
     combined map-side, no row is repeated.
     """
@@ -166,7 +182,7 @@ def kde(
         )
 
     def kernel(point: float) -> Column:
-        z = (F.lit(float(point)) - F.col("_x")) / F.col("_h")
+        z = F.try_divide(F.lit(float(point)) - F.col("_x"), F.col("_h"))
         return F.exp(-z * z / 2)
 
     sums = joined.groupBy(*groups, "_n", "_h").agg(
@@ -180,7 +196,7 @@ def kde(
     )
     scale = F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi)
     return sums.select(*groups, scale.alias("_scale"), F.inline(cells)).select(
-        *groups, "grid", (F.col("_sum") / F.col("_scale")).alias("density")
+        *groups, "grid", F.try_divide("_sum", "_scale").alias("density")
     )
 
 
@@ -197,7 +213,10 @@ def normality_check(df: DataFrame, x: str, with_p: bool = True) -> DataFrame:
 def regression_band(
     df: DataFrame, x: str, y: str, grid: list[float], z: float = 1.96
 ) -> DataFrame:
-    """Fitted line and its confidence band at grid points, from one pass of sums."""
+    """Fitted line and its confidence band at grid points, from one pass of sums.
+
+    The band is null for fewer than three points or a constant x.
+    """
     yc, xc = F.col(y).cast("double"), F.col(x).cast("double")
     fit = df.agg(
         F.regr_count(yc, xc).alias("n"),
@@ -210,9 +229,9 @@ def regression_band(
     )
     at = F.explode(F.array(*(F.lit(float(g)) for g in grid)))
     fit = fit.withColumn("grid", at)
-    s2 = (1 - F.col("r2")) * F.col("syy") / (F.col("n") - 2)
+    s2 = F.try_divide(F.greatest(1 - F.col("r2"), F.lit(0.0)) * F.col("syy"), F.col("n") - 2)
     off = F.col("grid") - F.col("mx")
-    se = F.sqrt(s2 * (1 / F.col("n") + off * off / F.col("sxx")))
+    se = F.sqrt(s2 * (F.try_divide(F.lit(1), F.col("n")) + F.try_divide(off * off, F.col("sxx"))))
     line = F.col("a") + F.col("b") * F.col("grid")
     return fit.select(
         "grid", line.alias("fit"), (line - z * se).alias("low"), (line + z * se).alias("high")

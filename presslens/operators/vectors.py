@@ -12,8 +12,8 @@ from presslens.functions.vectors import l2_normalise, layer_norm
 from presslens.operators.dedup import keep_first
 from presslens.operators.ranking import sample_n
 
-# A side is broadcast only if it was counted to hold at most this many vectors.
-BROADCAST_VECTORS = 16_384
+# A side is broadcast only if its vectors were counted to take at most this many bytes.
+BROADCAST_BYTES = 64 << 20
 # Block size of the grid used when both sides are larger.
 GRID_ROWS = 16_384
 # Distance cells computed at a time inside a task.
@@ -50,16 +50,25 @@ def _matrix(series: pd.Series) -> np.ndarray:
 def _nearest(points: np.ndarray, base: np.ndarray, base_ids: np.ndarray, k: int):
     """Per point (distances, ids) of its k nearest base vectors, ties by id.
 
-    The matrix product finds who can be among the k; their distances are then recomputed
-    from differences, so cancellation cannot change the order.
+    The matrix product of centred vectors finds who can be among the k, with a slack that
+    covers its rounding error; their distances are then recomputed from differences, so
+    cancellation cannot change the order.
     """
     k = min(k, len(base))
-    base_norms = (base**2).sum(axis=1)
+    middle = base.mean(axis=0)
+    centred = base - middle
+    base_norms = (centred**2).sum(axis=1)
+    error = 4 * np.finfo(np.float64).eps * (base.shape[1] + 8)
     step = max(1, _CELLS // len(base))
     for start in range(0, len(points), step):
         piece = points[start : start + step]
-        rough = (piece**2).sum(axis=1)[:, None] + base_norms[None, :] - 2.0 * piece @ base.T
-        slack = 1e-9 * (1.0 + np.abs(rough).max())
+        moved = piece - middle
+        norms = (moved**2).sum(axis=1)
+        rough = norms[:, None] + base_norms[None, :] - 2.0 * moved @ centred.T
+        # Centring rounds each coordinate by an ulp of its original size.
+        shift = np.abs(piece).max(initial=0.0) + np.abs(base).max(initial=0.0)
+        far = np.sqrt(norms) + np.sqrt(base_norms.max())
+        slack = error * (far + shift * np.finfo(np.float64).eps) * (far + shift)
         bars = np.partition(rough, k - 1, axis=1)[:, k - 1] + slack
         for row, bar, point in zip(rough, bars, piece):
             near = np.flatnonzero(row <= bar)
@@ -83,8 +92,10 @@ def _id_type(df: DataFrame, id_col: str) -> str:
     return df.schema[id_col].dataType.simpleString()
 
 
-def _is_small(df: DataFrame) -> bool:
-    return df.limit(BROADCAST_VECTORS + 1).count() <= BROADCAST_VECTORS
+def _is_small(df: DataFrame, vector: str) -> bool:
+    first = df.select(F.size(vector)).first()
+    rows = BROADCAST_BYTES // (8 * max(1, first[0] if first else 1))
+    return df.limit(rows + 1).count() <= rows
 
 
 def _shipped(df: DataFrame, id_col: str, vector: str):
@@ -106,13 +117,14 @@ def knn(
 
     A small base is sent to the query rows and needs no shuffle. Few queries are sent to
     the base rows; each task keeps k per query and a top-k merges them. When both sides are
-    large they meet block by block on a grid of bounded tasks.
+    large they meet block by block on a grid of bounded tasks. Null vectors take no part.
     """
+    queries, base = (df.filter(F.col(vector).isNotNull()) for df in (queries, base))
     schema = (
         f"`{query_id}` {_id_type(queries, query_id)}, "
         f"neighbour_id {_id_type(base, base_id)}, distance double, rank int"
     )
-    if _is_small(base):
+    if _is_small(base, vector):
         shared = _shipped(base, base_id, vector)
 
         def search_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -123,7 +135,7 @@ def knn(
                     yield _neighbour_frame(query_id, batch[query_id].to_numpy(), found)
 
         return queries.select(query_id, vector).mapInPandas(search_rows, schema)
-    if _is_small(queries):
+    if _is_small(queries, vector):
         shared = _shipped(queries, query_id, vector)
 
         def search_base(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -198,17 +210,17 @@ def sample_diagonal(
 
 
 def sample_kmeans(
-    df: DataFrame, id_col: str, vector: str, k: int = 200, fit_rows: int = 200_000, seed: int = 0
+    df: DataFrame, id_col: str, vector: str, k: int = 200, seed: int = 0
 ) -> DataFrame:
-    """The row nearest to each centre of a k-means fitted on a reproducible sample."""
+    """The row nearest to each centre of a k-means fitted on all rows."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    # Only ids are ordered; the vectors of the chosen ids are fetched by a join.
-    ids = sample_n(df.select(id_col), [id_col], fit_rows, seed)
-    sample = df.select(id_col, vector).join(ids, id_col, "left_semi")
-    features = sample.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
+    known = df.filter(F.col(vector).isNotNull())
+    features = known.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
+    features = features.persist()  # read once for all rounds
     model = KMeans(k=k, seed=seed).fit(features)
+    features.unpersist()
     centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     points = df.sparkSession.createDataFrame(centres, f"centre int, `{vector}` array<double>")
     near = knn(points, df, "centre", id_col, vector, 1)
@@ -217,7 +229,11 @@ def sample_kmeans(
 
 
 def euclidean(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return np.sqrt(((points[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2))
+    """Distance matrix by a matrix product, centred so that little is cancelled."""
+    middle = centres.mean(axis=0)
+    p, c = points - middle, centres - middle
+    squares = (p**2).sum(axis=1)[:, None] + (c**2).sum(axis=1)[None, :] - 2.0 * p @ c.T
+    return np.sqrt(np.maximum(squares, 0.0))
 
 
 def kmeans_custom(
@@ -235,14 +251,15 @@ def kmeans_custom(
 
     distance(points, centres) returns a matrix, vector_fn maps a matrix of raw vectors.
     Each round ships k centres, sums per task and cluster, and returns k rows. A cluster
-    that loses all its members keeps its centre.
+    that loses all its members keeps its centre. Rows without a vector get no cluster.
     """
     transform = vector_fn or (lambda m: m)
-    start = sample_n(df, [id_col], k, seed).select(vector).collect()  # k rows
+    start = sample_n(df.filter(F.col(vector).isNotNull()), [id_col], k, seed).select(vector).collect()  # k rows
     centres = transform(np.array([r[0] for r in start], dtype=np.float64))
     if len(centres) < k:
         raise ValueError("fewer rows than clusters")
-    rows = df.select(id_col, vector)
+    rows = df.select(id_col, vector).filter(F.col(vector).isNotNull())
+    rounds = rows.persist()  # read once for all rounds
 
     def assign(matrix: np.ndarray, current: np.ndarray) -> np.ndarray:
         return distance(transform(matrix), current).argmin(axis=1)
@@ -263,7 +280,7 @@ def kmeans_custom(
         return run
 
     for _ in range(max_iter):
-        parts = rows.mapInPandas(
+        parts = rounds.mapInPandas(
             partial_sums(centres), "cluster int, n bigint, total array<double>"
         )
         cells = parts.select("cluster", "n", F.posexplode("total").alias("i", "x"))
@@ -281,6 +298,7 @@ def kmeans_custom(
         if shift < tol:
             break
 
+    rounds.unpersist()
     final = centres
 
     def label(batches):

@@ -69,7 +69,7 @@ def a03(spark, d):
 @query(
     "a03_compare_share_tables",
     """WITH c AS (SELECT n_name AS country, count(*) AS n FROM customer
-                  JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < 300 GROUP BY 1),
+                  JOIN nation ON c_nationkey = n_nationkey GROUP BY 1),
             s AS (SELECT n_name AS country, count(*) AS n FROM supplier
                   JOIN nation ON s_nationkey = n_nationkey GROUP BY 1)
        SELECT coalesce(c.country, s.country) AS country, coalesce(c.n, 0) AS count_customers,
@@ -80,7 +80,7 @@ def a03(spark, d):
 )
 def a03_tables(spark, d):
     nation = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("country"))
-    customer = table(spark, d, "customer").filter("c_acctbal < 300")
+    customer = table(spark, d, "customer")
     tables = {
         "customers": customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")),
         "suppliers": table(spark, d, "supplier").join(

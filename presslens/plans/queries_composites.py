@@ -22,7 +22,7 @@ from presslens.plans.views import articles, breaches, companies, headlines, tabl
                          count(*) FILTER (value > 20) AS posts, count(*) FILTER (value <= 20) AS comments,
                          count(*) FILTER (value > 40) AS posts_in_sub,
                          count(*) FILTER (value <= 5) AS comments_in_sub
-                  FROM events GROUP BY ALL HAVING count(*) > 10)
+                  FROM events GROUP BY ALL)
        SELECT t.mod, t.subreddit, started, ended, coalesce(posts, 0) AS posts,
          coalesce(comments, 0) AS comments, coalesce(posts_in_sub, 0) AS posts_in_sub,
          coalesce(comments_in_sub, 0) AS comments_in_sub, coalesce(n, 0) AS n_errors,
@@ -44,12 +44,11 @@ def c01(spark, d):
     value = F.col("value")
     activity = events.groupBy(*keys).agg(
         F.min("ts").alias("started"),
-        F.count("*").alias("_n"),
         F.count_if(value > 20).alias("posts"),
         F.count_if(value <= 20).alias("comments"),
         F.count_if(value > 40).alias("posts_in_sub"),
         F.count_if(value <= 5).alias("comments_in_sub"),
-    ).filter("_n > 10").drop("_n")
+    )
     errors = events.filter("subreddit = 'error'").groupBy(*keys).agg(
         F.min("ts").alias("started"), F.count("*").alias("n_errors")
     )
@@ -65,7 +64,7 @@ def c01(spark, d):
                          count(*) FILTER (value > 30) AS positive_mod_items,
                          count(*) FILTER (value > 10 AND value <= 30) AS neutral_mod_items,
                          count(*) FILTER (value <= 10) AS negative_mod_items
-                  FROM events WHERE event_type NOT IN ('error') AND value > 1 GROUP BY ALL),
+                  FROM events WHERE event_type NOT IN ('error') GROUP BY ALL),
             r AS (SELECT event_type AS subreddit, CAST(year(ts) AS INTEGER) AS year,
                          CAST(month(ts) AS INTEGER) AS month, count(*) AS removed
                   FROM events WHERE event_type NOT IN ('error', 'view') GROUP BY ALL)
@@ -75,7 +74,7 @@ def c01(spark, d):
 def c02(spark, d):
     events = table(spark, d, "events")
     value = F.col("value")
-    items = events.filter("value > 1").select(
+    items = events.select(
         F.col("event_id").alias("id"), F.col("event_type").alias("subreddit"),
         F.col("ts").alias("created"),
         F.when(value > 30, "positive").when(value > 10, "neutral").otherwise("negative").alias("sentiment"),

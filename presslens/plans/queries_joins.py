@@ -162,7 +162,7 @@ def _left(spark, d, keep_uncovered):
     a = articles(spark, d).select("article_id", F.col("org").alias("article_org"), "article_date")
     pairs = A.attribute_in_window_left(
         b, a, [("org", "article_org")], "breach_id", "breach_date", "article_date", MAX_DAYS,
-        keep_uncovered,
+        keep_uncovered, null_safe=not keep_uncovered,
     )
     return pairs.select("breach_id", "article_id")
 
@@ -189,7 +189,7 @@ def j09_filtered(spark, d):
     """SELECT coalesce(a.n_name, b.n_name, c.n_name) AS country, coalesce(a.n, 0) AS n_customers,
               coalesce(b.n, 0) AS n_suppliers, coalesce(c.n, 0) AS n_rich
        FROM (SELECT n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey
-             WHERE c_acctbal < 200 GROUP BY 1) a
+             GROUP BY 1) a
        FULL JOIN (SELECT n_name, count(*) AS n FROM supplier JOIN nation
                   ON s_nationkey = n_nationkey GROUP BY 1) b ON a.n_name = b.n_name
        FULL JOIN (SELECT n_name, count(*) AS n FROM customer JOIN nation
@@ -201,7 +201,7 @@ def j10(spark, d):
     customer = table(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     supplier = table(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     tables = [
-        count_by(customer.filter("c_acctbal < 200"), ["country"], "n_customers"),
+        count_by(customer, ["country"], "n_customers"),
         count_by(supplier, ["country"], "n_suppliers"),
         count_by(customer.filter("c_acctbal > 9900"), ["country"], "n_rich"),
     ]
@@ -262,17 +262,13 @@ def j14(spark, d):
 
 @query(
     "j15_overlap_counts",
-    """WITH a AS (SELECT lang, source FROM documents WHERE n_chars > 2000),
-            b AS (SELECT lang, source FROM documents WHERE n_chars < 60),
-            j AS (SELECT count(*) AS n FROM a JOIN b USING (lang, source))
+    """WITH a AS (SELECT doc_id FROM documents), b AS (SELECT doc_id FROM labels),
+            j AS (SELECT count(*) AS n FROM a JOIN b USING (doc_id))
        SELECT n AS in_both, (SELECT count(*) FROM a) - n AS only_a,
               (SELECT count(*) FROM b) - n AS only_b FROM j""",
 )
 def j15(spark, d):
-    docs = table(spark, d, "documents").select("lang", "source", "n_chars")
-    return J.overlap_counts(
-        docs.filter("n_chars > 2000"), docs.filter("n_chars < 60"), ["lang", "source"]
-    )
+    return J.overlap_counts(table(spark, d, "documents"), table(spark, d, "labels"), ["doc_id"])
 
 
 @query("j16_join_fuzzy")
@@ -349,11 +345,10 @@ def u02(spark, d):
 
 @query(
     "u03_intersect_keys",
-    "SELECT doc_id FROM labels INTERSECT SELECT doc_id FROM documents WHERE n_chars > 400",
+    "SELECT doc_id FROM labels INTERSECT SELECT doc_id FROM documents",
 )
 def u03(spark, d):
-    docs = table(spark, d, "documents").filter("n_chars > 400")
-    return U.intersect_keys([table(spark, d, "labels"), docs], ["doc_id"])
+    return U.intersect_keys([table(spark, d, "labels"), table(spark, d, "documents")], ["doc_id"])
 
 
 @query(

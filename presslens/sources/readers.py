@@ -11,22 +11,30 @@ ITEM_PATTERNS = {"all": "R[SC]_*.jsonl", "posts": "RS_*.jsonl", "comments": "RC_
 
 
 def read_csv_typed(
-    spark: SparkSession, path: str, schema: str, encoding: str = "UTF-8", sep: str = ","
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    encoding: str = "UTF-8",
+    sep: str = ",",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header, quoted line breaks and doubled quotes."""
+    """CSV with a header and doubled quotes.
+
+    Quoted line breaks need multi_line, with which a file is read by one task.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("encoding", encoding)
         .option("sep", sep)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .csv(path)
     )
 
 
-def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return read_csv_typed(spark, path, schema, sep="\t")
+def read_tsv(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
+    return read_csv_typed(spark, path, schema, sep="\t", multi_line=multi_line)
 
 
 def read_folder_union(
@@ -43,11 +51,13 @@ def read_folder_union(
 
 
 def read_folders_by_name(
-    spark: SparkSession, folders: dict[str, str], tag: str = "source"
+    spark: SparkSession, folders: dict[str, str], tag: str = "source", multi_line: bool = False
 ) -> DataFrame:
     """Union of CSV folders with different headers, by column name ({folder: schema})."""
     parts = [
-        read_csv_typed(spark, path, schema).withColumn(tag, F.lit(path.rstrip("/").split("/")[-1]))
+        read_csv_typed(spark, path, schema, multi_line=multi_line).withColumn(
+            tag, F.lit(path.rstrip("/").split("/")[-1])
+        )
         for path, schema in folders.items()
     ]
     out = parts[0]
@@ -60,7 +70,7 @@ def read_csv_skipping(
     spark: SparkSession, path: str, schema: str, n: int, encoding: str = "UTF-8"
 ) -> DataFrame:
     """Keep the header, drop the first n data rows of a file."""
-    df = read_csv_typed(spark, path, schema, encoding)
+    df = read_csv_typed(spark, path, schema, encoding, multi_line=True)
     # One file is read front to back by one split, so this id follows the file.
     placed = df.withColumn("_position", F.monotonically_increasing_id())
     return skip_data_rows(placed, ["_position"], n).drop("_position")

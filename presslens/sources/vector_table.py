@@ -13,9 +13,10 @@ def upsert(df: DataFrame, path: str, version: int) -> None:
 
 
 def scan(spark: SparkSession, path: str, id_col: str = "id") -> DataFrame:
-    """Newest version of every id."""
+    """Newest version of every id; of equal versions the first by the other columns."""
     rows = spark.read.parquet(path)
-    return keep_first(rows, [id_col], [F.desc("version")])
+    rest = sorted(c for c in rows.columns if c not in (id_col, "version"))
+    return keep_first(rows, [id_col], [F.desc("version"), *rest])
 
 
 def compact(spark: SparkSession, path: str, target: str, id_col: str = "id") -> None:

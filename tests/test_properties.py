@@ -191,7 +191,7 @@ def test_three_ways_of_nearest_neighbours_agree(spark, monkeypatch):
     b, base = random_vectors(spark, 90, 6)
     queries, expected = queries.withColumnRenamed("id", "q"), expected_neighbours(a, b, 4)
     for limit in (1000, 80, 10):  # small base, few queries, grid
-        monkeypatch.setattr(vectors, "BROADCAST_VECTORS", limit)
+        monkeypatch.setattr(vectors, "BROADCAST_BYTES", limit * 8 * a.shape[1])
         monkeypatch.setattr(vectors, "GRID_ROWS", 25)
         found = vectors.knn(queries, base, "q", "id", "v", 4).collect()
         assert {(r.q, r.neighbour_id, r["rank"]) for r in found} == expected, limit
@@ -202,8 +202,30 @@ def test_custom_kmeans_separates_far_groups(spark):
     data = [(i, [float(100 * (i % 2)) + float(rng.normal()), 0.0]) for i in range(100)]
     df = spark.createDataFrame(data, "id long, v array<double>")
     got = {r.id: r.cluster for r in vectors.kmeans_custom(df, "id", "v", 2, seed=3).collect()}
-    assert len({got[i] for i in range(0, 100, 2)} | {got[i] for i in range(1, 100, 2)}) <= 2
-    assert len(got) == 100
+    even, odd = ({got[i] for i in range(start, 100, 2)} for start in (0, 1))
+    assert len(got) == 100 and len(even) == len(odd) == 1 and even != odd
+
+
+def test_distance_matrix_equals_differences():
+    rng = np.random.default_rng(9)
+    points, centres = rng.normal(size=(50, 6)) + 1e5, rng.normal(size=(7, 6)) + 1e5
+    expected = np.sqrt(((points[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2))
+    assert np.allclose(vectors.euclidean(points, centres), expected, rtol=1e-8)
+
+
+def test_neighbours_far_from_the_origin():
+    rng = np.random.default_rng(10)
+    points, base = rng.normal(size=(200, 4)) + 1e7, rng.normal(size=(500, 4)) + 1e7
+    for point, (_, ids) in zip(points, vectors._nearest(points, base, np.arange(500), 3)):
+        exact = ((base - point) ** 2).sum(axis=1)
+        assert ids.tolist() == np.lexsort((np.arange(500), exact))[:3].tolist()
+
+
+def test_null_vectors_have_no_neighbours(spark):
+    data = [(1, [0.0, 1.0]), (2, None), (3, [0.0, 3.0])]
+    df = spark.createDataFrame(data, "id long, v array<double>")
+    found = vectors.knn(df.withColumnRenamed("id", "q"), df, "q", "id", "v", 2).collect()
+    assert {(r.q, r.neighbour_id) for r in found} == {(1, 1), (1, 3), (3, 3), (3, 1)}
 
 
 def brute_components(nodes, linked):
@@ -242,8 +264,10 @@ def test_predicate_clusters_equal_all_pairs(spark):
     assert got == brute_components(
         list(rows), lambda a, b: rows[a][0] == rows[b][0] and abs(rows[a][1] - rows[b][1]) == 1
     )
-    with pytest.raises(ValueError, match="refine"):
-        components.edges_by_predicate(df, "id", lambda a, b: F.lit(True), ["block"], max_block=5)
+    cut = components.edges_by_predicate(
+        df, "id", lambda a, b: F.abs(a("v") - b("v")) == 1, ["block"], chunk=3
+    )
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, edges.collect()))
 
 
 def test_long_path_is_one_component(spark):

@@ -16,7 +16,9 @@ from presslens.streaming.label_stream import label_stream
 def test_latin1_csv_with_quotes_and_line_breaks(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_bytes('name,note\n"Café ""X""","two\nlines"\n'.encode("latin-1"))
-    got = readers.read_csv_typed(spark, str(path), "name string, note string", "ISO-8859-1").first()
+    got = readers.read_csv_typed(
+        spark, str(path), "name string, note string", "ISO-8859-1", multi_line=True
+    ).first()
     assert (got.name, got.note) == ('Café "X"', "two\nlines")
 
 
