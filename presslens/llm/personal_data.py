@@ -2,11 +2,12 @@
 
 Tokens with a digit or an at sign, and copies of tokens inside a pattern's span, are the nodes
 of a document; all others are taken as outside. Neighbours in the text share transition
-potentials, and each occurrence of a token shares a skip potential with the next one of the
-same letters and digits, however far away, so n copies cost n - 1 edges. Nodes inside a
-span of a fixed pattern are held at its kind. Loopy sum-product message passing runs over all
-documents of a slice at once; nodes outside the spans whose best label has a belief of
-`belief` or more are added as `crf_` spans, neighbours of one label joined.
+potentials, and all occurrences of a token with the same letters and digits share a skip
+potential with one hub node of the document, so n copies cost n edges and any two of them
+are two steps apart, however far away. Nodes inside a span of a fixed pattern are held at its
+kind. Loopy sum-product message passing runs over all documents of a slice at once, each
+until its messages move less than `TOLERANCE`; nodes outside the spans whose best label has a
+belief of `belief` or more are added as `crf_` spans, neighbours of one label joined.
 
 Factors are learnt piecewise from the fixed patterns in at most `max_rows` documents, chosen by
 a hash: node weights by multinomial regression, transitions and skip weights by counts.
@@ -28,7 +29,8 @@ from presslens.llm import textkit
 
 MAX_ROWS = 2000
 BELIEF = 0.9
-ROUNDS = 15
+TOLERANCE = 1e-4  # of a message, in logarithms
+STEADY = 200  # rounds with half steps; after these steps shrink, so that no document circles for ever
 BASE = ("email", "ip", "card", "phone")
 LABELS = ("", *BASE)  # the first is "outside"
 KINDS = (*BASE, *(f"crf_{k}" for k in BASE))
@@ -115,7 +117,8 @@ class _Nodes:
 
     def __init__(self):
         self.doc, self.spans, self.held, self.shape = [], [], [], []
-        self.chain, self.skip = [], []
+        self.chain, self.skip = [], []  # skip: an occurrence and the next one, to count by
+        self.hub_doc, self.hub = [], []  # document of each hub; (node, hub) of each occurrence
 
     def add(self, number: int, text: str, base: list[tuple[str, int, int]]) -> None:
         if not base and not _ANY.search(text):
@@ -129,7 +132,7 @@ class _Nodes:
             label_of.update(dict.fromkeys(inside, LABELS.index(kind)))
         core = lambda t: _CORE.sub("", t).lower()
         held_cores = {core(tokens[i][2]) for i in label_of} - {""}
-        last_seen: dict[str, int] = {}
+        seen: dict[str, list[int]] = {}
         previous = None
         for i, (s, e, token) in enumerate(tokens):
             marked = i in label_of
@@ -147,9 +150,12 @@ class _Nodes:
             previous = i
             name = core(token)
             if name:
-                if name in last_seen:
-                    self.skip.append((last_seen[name], node))
-                last_seen[name] = node
+                seen.setdefault(name, []).append(node)
+        for copies in seen.values():
+            if len(copies) > 1:
+                self.skip += zip(copies, copies[1:])
+                self.hub += [(node, len(self.hub_doc)) for node in copies]
+                self.hub_doc.append(number)
 
     def matrix(self) -> np.ndarray:
         x = np.zeros((len(self.doc), N_FEATURES))
@@ -191,37 +197,47 @@ def fit_factors(nodes: _Nodes, steps: int = 300) -> dict:
     return {"node": node, "chain": pair(nodes.chain), "skip": (skip + skip.T) / 2}
 
 
-def beliefs(factors: dict, nodes: _Nodes, rounds: int = ROUNDS) -> np.ndarray:
+def beliefs(factors: dict, nodes: _Nodes) -> np.ndarray:
     """Marginals of every node by damped loopy message passing, in logarithms."""
-    k = len(LABELS)
+    k, n = len(LABELS), len(nodes.doc)
     own = nodes.matrix() @ factors["node"]
     for i, label in enumerate(nodes.held):
         if label >= 0:
             own[i] = -30.0
             own[i, label] = 0.0
-    edges = [(a, b, factors["chain"]) for a, b in nodes.chain] + [(a, b, factors["skip"]) for a, b in nodes.skip]
+    own = np.concatenate((own, np.zeros((len(nodes.hub_doc), k))))
+    edges = [(a, b, factors["chain"]) for a, b in nodes.chain] + [(a, n + h, factors["skip"]) for a, h in nodes.hub]
 
     def norm(m: np.ndarray) -> np.ndarray:
         m = m - m.max(axis=1, keepdims=True)
         return m - np.log(np.exp(m).sum(axis=1, keepdims=True))
 
+    def received(target: np.ndarray, messages: np.ndarray) -> np.ndarray:
+        return np.stack([np.bincount(target, m, len(own)) for m in messages.T], axis=1)
+
     if edges:
         a, b = (np.array([e[i] for e in edges]) for i in (0, 1))
         potential = np.stack([e[2] for e in edges])
-        source, target = np.concatenate((a, b)), np.concatenate((b, a))
-        potential = np.concatenate((potential, potential.transpose(0, 2, 1)))
-        n = len(a)
-        back = np.concatenate((np.arange(n, 2 * n), np.arange(n)))
-        messages = np.zeros((2 * n, k))
-        for _ in range(rounds):
-            total = own.copy()
-            np.add.at(total, target, messages)
-            out = (total[source] - messages[back])[:, :, None] + potential
-            top = out.max(axis=1)
-            fresh = norm(top + np.log(np.exp(out - top[:, None, :]).sum(axis=1)))
-            messages = 0.5 * messages + 0.5 * fresh
-        np.add.at(own, target, messages)
-    return np.exp(norm(own)) if len(own) else own
+        doc = np.array(nodes.doc)[a]
+        messages = np.zeros((2, len(a), k))  # from a to b, from b to a
+        live, rounds = np.arange(len(a)), 0
+        while len(live):  # a document stops by its own messages, whatever else is in the slice
+            rounds += 1
+            step = 0.5 * min(1.0, STEADY / rounds)
+            a_, b_, old, ab = a[live], b[live], messages[:, live], potential[live]
+            total = own + received(b_, old[0]) + received(a_, old[1])
+            fresh = []
+            for source, back, p in ((a_, old[1], ab), (b_, old[0], ab.transpose(0, 2, 1))):
+                out = (total[source] - back)[:, :, None] + p
+                top = out.max(axis=1)
+                fresh.append(norm(top + np.log(np.exp(out - top[:, None, :]).sum(axis=1))))
+            change = step * (np.stack(fresh) - old)
+            messages[:, live] = old + change
+            moved = np.zeros(doc.max() + 1)
+            np.maximum.at(moved, doc[live], np.abs(change).max(axis=(0, 2)))
+            live = live[moved[doc[live]] >= TOLERANCE]
+        own = own + received(b, messages[0]) + received(a, messages[1])
+    return np.exp(norm(own[:n])) if n else own[:n]
 
 
 def added_spans(factors: dict, nodes: _Nodes, belief: float) -> dict[int, list[tuple[str, int, int]]]:

@@ -354,6 +354,16 @@ def test_distant_copies_share_their_label():
     assert nodes.skip and personal_data.LABELS[int(belief[-1].argmax())] == "phone"
 
 
+def test_a_hundred_copies_share_their_label():
+    nodes = personal_data._Nodes()
+    text = "call +1 (017) 555-7713 now" + " word again 555-7713 here" * 100
+    nodes.add(0, text, personal_data.base_spans(text))
+    node = np.zeros((personal_data.N_FEATURES, 5))
+    factors = {"node": node, "chain": np.zeros((5, 5)), "skip": np.where(np.eye(5) > 0, 3.0, -3.0)}
+    assert len(nodes.hub) == 101 and len(nodes.skip) == 100
+    assert len(personal_data.added_spans(factors, nodes, 0.9)[0]) == 100
+
+
 def test_url_rules_equal_brute_force(spark):
     rules = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", None), ("allow", "", "/")]
     hosts = ["com", "a.com", "example.com", "EXAMPLE.com", "www.example.com", "x.www.example.com", "myexample.com", "a-b.example.com", "b.net", "net", "example.com.", "example.com:80", "org", ""]
