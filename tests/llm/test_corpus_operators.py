@@ -284,6 +284,18 @@ def test_language_of_held_out_documents(spark, odd, none):
     assert language.identified(odd).count() == 11 and language.identified(none).count() == 0
 
 
+def test_a_rare_language_is_calibrated_in_a_large_table(spark):
+    pick = lambda letters, i: F.substring(F.lit(letters), (F.pmod(F.xxhash64("id", F.lit(i)), F.lit(8)) + 1).cast("int"), 1)
+    text = lambda letters: F.concat(*(x for i in range(20) for x in (pick(letters, i), F.lit("" if i % 5 else " "))))
+    many = spark.range(40_000).select("id", text("abcdefgh").alias("text"), F.lit("aa").alias("lang"))
+    few = spark.range(50_000, 50_100).filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) > 200_000).orderBy("id").limit(6)
+    some = few.select("id", F.lit("klm nop klm mno pok").alias("text"), F.lit("bb").alias("lang"))
+    docs = many.unionByName(some).withColumnRenamed("id", "doc_id")
+    rare = language.identified(docs).filter("lang = 'bb'").collect()
+    assert len(rare) == 6 and not all(r.held_out for r in rare)
+    assert all(r.lang_pred == "bb" and not r.rejected for r in rare)
+
+
 def test_kneser_ney_sums_to_one():
     keys, at, letters = language.keys_of(["abra cadabra", "Abrakadabra!", "", "12"])
     assert letters.tolist() == [11, 11, 0, 0] and len(keys) == at[-1]
