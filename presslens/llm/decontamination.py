@@ -1,15 +1,16 @@
 """Benchmark passages in documents by greedy string tiling.
 
-Words are runs of letters, digits and underscores in lower case. A document and a benchmark
-item that share a seed (`seed` words in a row; all words of a shorter item) are tiled: the
-longest common run of words not yet marked is found by running Karp-Rabin hashes over both,
+Words are runs of letters, digits and underscores in lower case. Seeds are the runs of
+`min_tile` words of an item (all words of a shorter one), so every tile consists of seeds that
+the document holds, and the words of such seeds bound what tiles can cover. A document and a
+benchmark item whose bound reaches `coverage` are tiled: the longest common run of words not yet marked is found by running Karp-Rabin hashes over both,
 every non-overlapping match of that length is marked, and this goes on down to `min_tile`
 words. Tiles may lie in any order, so a passage with its parts exchanged is covered as well.
 The pair counts if the marked share of the item reaches `coverage`.
 
 Documents never shuffle: the benchmark goes to them, in blocks of at most `block_bytes` of
 text, each broadcast and met by all documents. Null and blank texts and items match nothing;
-an item shorter than a seed needs all its words in a row (and then `coverage` by that tile).
+an item shorter than `min_tile` needs all its words in a row.
 Repeated rows give repeated results, null ids are carried as null, other columns are ignored
 by `tilings` and kept by `without_leaks`. Empty tables give empty results.
 """
@@ -27,7 +28,7 @@ from pyspark.sql.types import BooleanType
 
 from presslens.llm import textkit
 
-SEED, MIN_TILE, COVERAGE = 5, 3, 0.7
+MIN_TILE, COVERAGE = 3, 0.7
 BLOCK_BYTES = 16 << 20
 _TABLE_BITS = 22
 _WORD = re.compile(r"\w+")
@@ -115,29 +116,61 @@ def greedy_tiles(item: np.ndarray, doc: np.ndarray, min_tile: int) -> list[int]:
     return tiles
 
 
-def benchmark_index(items: list[tuple[int | None, str | None]], seed: int) -> dict:
+def benchmark_index(items: list[tuple[int | None, str | None]], min_tile: int) -> dict:
     """Ids, word hashes and seeds of a block of items; plain data, as it is broadcast."""
     ids, item_words = [], []
     by_length: dict[int, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
+    begins = [0]
     for item_id, text in items:
         words, _ = textkit.word_hashes([normalise(text)])
         if len(words) == 0:
             continue
         words = words | np.uint64(1)  # never 0, the gap
-        n = min(seed, len(words))
-        grams = np.unique(textkit.ngram_hashes(words, n))
-        by_length[n].append((grams, np.full(len(grams), len(ids))))
+        n = min(min_tile, len(words))
+        grams = textkit.ngram_hashes(words, n)
+        by_length[n].append((grams, begins[-1] + np.arange(len(grams))))
+        begins.append(begins[-1] + len(words))
         ids.append(item_id)
         item_words.append(words)
     seeds = {}
     for n, parts in by_length.items():
         grams = np.concatenate([g for g, _ in parts])
-        owner = np.concatenate([o for _, o in parts])
+        places = np.concatenate([p for _, p in parts])
         order = np.argsort(grams, kind="stable")
+        distinct, first = np.unique(grams[order], return_index=True)
         table = np.zeros(1 << _TABLE_BITS, bool)
-        table[grams >> np.uint64(64 - _TABLE_BITS)] = True
-        seeds[n] = (grams[order], owner[order], table)
-    return {"ids": ids, "words": item_words, "seeds": seeds}
+        table[distinct >> np.uint64(64 - _TABLE_BITS)] = True
+        seeds[n] = (distinct, np.append(first, len(grams)), places[order], table)
+    return {"ids": ids, "words": item_words, "begins": np.array(begins), "seeds": seeds}
+
+
+def _candidates(index: dict, words: np.ndarray, at: np.ndarray, coverage: float) -> Iterator[tuple[int, int]]:
+    """Pairs of a text and an item whose seeds in the text can cover enough of the item."""
+    begins = index["begins"]
+    for n, (grams, bounds, places, table) in index["seeds"].items():
+        hashes = textkit.ngram_hashes(words, n)
+        maybe = np.flatnonzero(table[hashes >> np.uint64(64 - _TABLE_BITS)])
+        gram = np.minimum(np.searchsorted(grams, hashes[maybe]), len(grams) - 1)
+        doc = np.searchsorted(at, maybe, "right") - 1
+        hit = (grams[gram] == hashes[maybe]) & (maybe + n <= at[doc + 1])
+        doc, gram = doc[hit], gram[hit]
+        edges = np.concatenate(([0], np.flatnonzero(np.diff(doc)) + 1, [len(doc)]))
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            if lo == hi:
+                continue
+            held = np.unique(gram[lo:hi])
+            size = bounds[held + 1] - bounds[held]
+            # Every place of the held seeds in the block, in order.
+            within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            found = np.sort(places[np.repeat(bounds[held], size) + within])
+            owner = np.searchsorted(begins, found, "right") - 1
+            new = np.minimum(n, np.diff(found, append=found[-1] + n))  # words up to the next seed
+            new[:-1][owner[1:] != owner[:-1]] = n
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            items = owner[first]
+            enough = np.add.reduceat(new, first) >= coverage * (begins[items + 1] - begins[items])
+            for i in items[enough]:
+                yield int(doc[lo]), int(i)
 
 
 def matches(
@@ -146,25 +179,14 @@ def matches(
     """(text number, item number, item words, tiles) of each pair over the threshold."""
     words, at = textkit.word_hashes([normalise(t.decode()) for t in texts])
     words = words | np.uint64(1)
-    pairs = set()
-    for n, (grams, owner, table) in index["seeds"].items():
-        hashes = textkit.ngram_hashes(words, n)
-        maybe = np.flatnonzero(table[hashes >> np.uint64(64 - _TABLE_BITS)])
-        first = np.searchsorted(grams, hashes[maybe], "left")
-        last = np.searchsorted(grams, hashes[maybe], "right")
-        hit = last > first
-        for place, lo, hi in zip(maybe[hit], first[hit], last[hit]):
-            doc = int(np.searchsorted(at, place, "right")) - 1
-            if place + n <= at[doc + 1]:
-                pairs.update((doc, int(i)) for i in owner[lo:hi])
-    for doc, i in sorted(pairs):
+    for doc, i in sorted(_candidates(index, words, at, coverage)):
         item = index["words"][i]
         tiles = greedy_tiles(item, words[at[doc] : at[doc + 1]], min(min_tile, len(item)))
-        if sum(tiles) >= coverage * len(item):
+        if tiles and sum(tiles) >= coverage * len(item):
             yield doc, i, len(item), tiles
 
 
-def _blocks(benchmark: DataFrame, seed: int, block_bytes: int):
+def _blocks(benchmark: DataFrame, min_tile: int, block_bytes: int):
     """Broadcast indexes of the benchmark, one bounded block after the other."""
     items = benchmark.select(F.col("item_id"), F.col("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -172,7 +194,7 @@ def _blocks(benchmark: DataFrame, seed: int, block_bytes: int):
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     for block in range(blocks):
         rows = [tuple(r) for r in items.filter(number == block).collect()]
-        yield benchmark.sparkSession.sparkContext.broadcast(benchmark_index(rows, seed))
+        yield benchmark.sparkSession.sparkContext.broadcast(benchmark_index(rows, min_tile))
 
 
 TILED = (
@@ -202,7 +224,6 @@ def _tiler(shared, min_tile: int, coverage: float):
 def tilings(
     docs: DataFrame,
     benchmark: DataFrame,
-    seed: int = SEED,
     min_tile: int = MIN_TILE,
     coverage: float = COVERAGE,
     block_bytes: int = BLOCK_BYTES,
@@ -210,7 +231,7 @@ def tilings(
     """One row per document and benchmark item that it contains."""
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
-    for shared in _blocks(benchmark, seed, block_bytes):
+    for shared in _blocks(benchmark, min_tile, block_bytes):
         found = thin.mapInArrow(_tiler(shared, min_tile, coverage), TILED)
         out = found if out is None else out.unionByName(found)
     return out
@@ -234,12 +255,11 @@ def _leak_test(shared, min_tile: int, coverage: float):
 def without_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
-    seed: int = SEED,
     min_tile: int = MIN_TILE,
     coverage: float = COVERAGE,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Documents that contain no benchmark item, with all their columns."""
-    for shared in _blocks(benchmark, seed, block_bytes):
+    for shared in _blocks(benchmark, min_tile, block_bytes):
         docs = docs.filter(~_leak_test(shared, min_tile, coverage)("text"))
     return docs

@@ -206,6 +206,21 @@ def test_leaks_are_found_in_any_order(spark, odd, none):
     assert decontamination.tilings(docs, benchmark.limit(0)).count() == 0
 
 
+def test_reordered_phrases_and_changed_words_are_leaks(spark):
+    item = [f"w{i}" for i in range(24)]
+    phrases = [item[i : i + 3] for i in range(0, 24, 3)]
+    reordered = " ".join(w for p in reversed(phrases) for w in p)
+    changed = " ".join("other" if i % 5 == 4 else w for i, w in enumerate(item))
+    thin = " ".join(w for p in phrases[:5] for w in (*p, "so"))
+    rows = [(1, reordered), (2, f"a b {changed} c"), (3, thin), (4, "so two three four"), (5, "four three two one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(7, " ".join(item)), (8, "one two three four")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.covered_words for r in decontamination.tilings(docs, benchmark).collect()}
+    assert got == {(1, 7): 24, (2, 7): 20, (4, 8): 3}
+    left = decontamination.without_leaks(docs, benchmark).collect()
+    assert sorted(r.doc_id for r in left) == [3, 5]
+
+
 def test_knapsack_is_nearest_and_budgets_are_kept():
     rng = np.random.default_rng(2)
     for _ in range(80):
