@@ -3,9 +3,10 @@
 The guess cost of a value is the least sum over its segmentations of the segments' costs,
 each the decimal logarithm of the guesses for it: common words (capitalised or with digits for
 letters), dates and years, repeats, sequences, keyboard walks, and single characters by brute
-force. A dynamic program over the positions finds it. Values that follow a credential word
-and `:` or `=`, a bearer marker, or stand as the password of a URL become `guess` spans if
-their cost reaches `least_cost`; the spans of the fixed patterns stay as they are.
+force. A dynamic program over the positions finds it. Values that follow a name with a
+credential word in it and `:` or `=`, a bearer marker, or stand as the password of a URL become
+`guess` spans if their cost reaches `least_cost`, unless inside another; the spans of the fixed
+patterns stay as they are. The search takes time in proportion to the text.
 
 Positions are code points, ends exclusive. A null text is empty and has no span. Rows repeat
 as they come, null ids are carried; an empty table gives an empty result.
@@ -37,13 +38,18 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs, as with + and a length test
 
 CREDENTIAL = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "://")
-CONTEXT = re.compile(
-    r"""\b(?:pass(?:word|wd|phrase|code)?|pwd|(?:client_?)?secret|(?:auth_?|access_?)?token"""
-    r"""|(?:api|access|private|secret)[_-]?key|credentials?|auth)\b["']?[\x20\t]*[:=][\x20\t]*["']?([^\s"'<>,;]{6,})"""
-    r"""|\bbearer\x20+([A-Za-z0-9+/_.=-]{6,})"""
-    r"""|\b[a-z][a-z0-9+.-]{0,20}://[^\s/:@]{1,64}:([^\s/@]{6,128})@""",
+# A name is tried from its start only, and whole; a credential word may stand anywhere in it.
+NAME = re.compile(r"""(?<![A-Za-z0-9_.-])([A-Za-z0-9_.-]++)["']?[\x20\t]*+[:=][\x20\t]*+["']?""", re.ASCII)
+WORD = re.compile(
+    r"""pass(?:word|wd|phrase|code)|pwd|secret|token|credential|(?:api|access|private)[_.-]?key"""
+    r"""|(?:pass|auth)(?:(?![a-z])|(?-i:(?=[A-Z])))""",  # not passenger, author
     re.ASCII | re.IGNORECASE,
 )
+VALUE = re.compile(r"""[^\s"'<>,;]{6,}""", re.ASCII)
+MARKED = (
+    re.compile(r"\bbearer\x20++([A-Za-z0-9+/_.=-]{6,})", re.ASCII | re.IGNORECASE),
+    re.compile(r"(?<=[A-Za-z0-9+.-])://[^\s/:@]*+:([^\s/@]{6,}+)@", re.ASCII),
+)
 
 # Common words of passwords, most common first.
 WORDS = (
@@ -80,7 +86,7 @@ def _near(a: str, b: str) -> bool:
     return abs(ya - yb) <= 1 and abs(xa - xb) <= 1
 
 
-def _segments(value: str, at: int) -> Iterator[tuple[int, float]]:
+def _segments(value: str, at: int, again: list[list[int]]) -> Iterator[tuple[int, float]]:
     """(end, cost) of the patterns that begin at a position."""
     rest = value[at : at + LONGEST_PATTERN]
     low = rest.lower()
@@ -112,24 +118,33 @@ def _segments(value: str, at: int) -> Iterator[tuple[int, float]]:
         )
         yield at + n, math.log10(len(PLACE) * n) + 0.6 * turns
     for unit in range(1, len(rest) // 2 + 1):
-        end = at + unit
-        while value[end : end + unit] == value[at : at + unit]:
-            end += unit
-        times = (end - at) // unit
+        times = 1 + again[unit - 1][at] // unit
         if times >= 2 and times * unit >= 3:
-            yield end, sum(map(_one, value[at : at + unit])) + math.log10(times)
+            yield at + times * unit, sum(map(_one, value[at : at + unit])) + math.log10(times)
+
+
+def _again(value: str) -> list[list[int]]:
+    """For each unit up to half the longest pattern: how far each position equals the one a unit on."""
+    out = []
+    for unit in range(1, min(len(value), LONGEST_PATTERN) // 2 + 1):
+        run = [0] * (len(value) + 1)
+        for at in range(len(value) - unit - 1, -1, -1):
+            run[at] = run[at + 1] + 1 if value[at] == value[at + unit] else 0
+        out.append(run)
+    return out
 
 
 def guess_cost(value: str) -> float:
     """Decimal logarithm of the guesses for a value, by its cheapest segmentation."""
     best = [0.0] + [math.inf] * len(value)  # a pattern ends here
     force = [math.inf] * (len(value) + 1)  # a brute-force span ends here
+    again = _again(value)
     for at in range(len(value)):
         here = min(best[at], force[at])
         start = here + (SEGMENT_COST if at else 0.0)
         one = _one(value[at])
         force[at + 1] = min(force[at] + one, (best[at] + (SEGMENT_COST if at else 0.0)) + one)
-        for end, cost in _segments(value, at):
+        for end, cost in _segments(value, at, again):
             best[end] = min(best[end], start + cost)
     return min(best[-1], force[-1])
 
@@ -146,16 +161,29 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def _in_context(text: str) -> Iterator[tuple[int, int]]:
+    """Values of names with a credential word, behind bearer markers, and passwords of URLs."""
+    name = NAME.search(text)
+    while name:
+        value = VALUE.match(text, name.end()) if WORD.search(name[1]) else None
+        if value:
+            yield value.span()
+        name = NAME.search(text, value.end() if value else name.end(1))
+    for marked in MARKED:
+        for m in marked.finditer(text):
+            yield m.span(1)
+
+
 def guessed_spans(text: str, least_cost: float) -> list[tuple[str, int, int]]:
-    """Values in credential context that cost at least so many guesses."""
+    """Values in credential context that cost at least so many guesses, without those inside another."""
     low = text.lower()
     if not any(w in low for w in CREDENTIAL):
         return []
-    found = []
-    for m in CONTEXT.finditer(text):
-        group = m.lastindex
-        if guess_cost(m[group]) >= least_cost:
-            found.append(("guess", *m.span(group)))
+    found, done = [], -1
+    for start, end in sorted(_in_context(text), key=lambda s: (s[0], -s[1])):
+        if end > done and guess_cost(text[start:end]) >= least_cost:
+            found.append(("guess", start, end))
+            done = end
     return found
 
 

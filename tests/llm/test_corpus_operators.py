@@ -348,6 +348,21 @@ def test_guess_costs_are_ordered():
     assert secrets.guess_cost("") == 0.0
 
 
+def test_secrets_behind_any_name_and_in_any_url():
+    long = "".join(random.Random(5).choices("abcXYZ0189", k=160))
+    found = {
+        "AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG+bPxRfiCYzzKq01": "wJalrXUtnFEMI/K7MDENG+bPxRfiCYzzKq01",
+        "DB_PWD: kQ7zRwLp2x9": "kQ7zRwLp2x9", "DB_PASSWORD=x9!kQ#7zR$wLp2": "x9!kQ#7zR$wLp2",
+        "dbPass = kQ7zRwLp2x9": "kQ7zRwLp2x9", "x:db.password=kQ7zRwLp2x9": "kQ7zRwLp2x9",
+        f"https://u:{long}@h": long, "redis://:kQ7zRwLp2x9@host": "kQ7zRwLp2x9",
+        f"https://{'u' * 90}:kQ7zRwLp2x9@host": "kQ7zRwLp2x9",
+    }
+    for text, value in found.items():
+        assert [text[s:e] for _, s, e in secrets.guessed_spans(text, 10.0)] == [value], text
+    for text in ("passenger: kQ7zRwLp2x9", "author=kQ7zRwLp2x9", "password=" + "a" * 50_000, "a" * 500_000 + " token"):
+        assert not secrets.guessed_spans(text, 10.0)
+
+
 def test_personal_data_equals_plain_patterns(spark, odd, none):
     texts = [
         "a@b.c_d@e.f x@y", "1.2.3.4.5 300.1.2.3 255.255.255.255 01.002.3.4", "4539 1488 0343 6467 4539148803436467 1",
