@@ -216,7 +216,7 @@ def x09(spark, d):
         F.col("label").isin(0, 3, 6, 9).alias("third"),
     )
     train, test = train_test_split(rows, ["vec_id"], 0.8)
-    model = train_text_classifier(train, ["low", "third"], vector="embedding", max_iter=20)
+    model = train_text_classifier(train, ["low", "third"], vector="embedding")
     scored = model.predict(test)
     truth = F.array(F.col("low").cast("int"), F.col("third").cast("int"))
     guess = F.array(F.col("low_pred").cast("int"), F.col("third_pred").cast("int"))

@@ -89,7 +89,7 @@ def v05(spark, d):
 
 @query("v06_kmeans_custom")
 def v06(spark, d):
-    return V.kmeans_custom(_vectors(spark, d), "vec_id", "embedding", k=10, max_iter=10)
+    return V.kmeans_custom(_vectors(spark, d), "vec_id", "embedding", k=10)
 
 
 @query(

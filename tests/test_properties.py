@@ -287,3 +287,18 @@ def test_density_integrates_to_one(spark):
 def test_normalised_names_have_no_punctuation(spark):
     df = spark.createDataFrame([("A.B, C-d_e!",), ("日本 Co.",)], "s string")
     assert [r.n for r in df.select(normalise_name(F.col("s")).alias("n")).collect()] == ["ab cd_e", "日本 co"]
+
+
+def test_another_kmeans_round_changes_no_label(spark):
+    import __spark_entry__ as entry
+
+    folder = "/root/testdata/sf0.1"
+    label = {r.vec_id: r.cluster for r in entry.queries()["v06_kmeans_custom"](spark, folder).collect()}
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect()
+    rows = [r for r in rows if r.vec_id in label]
+    points = np.array([r.embedding for r in rows], dtype=np.float64)
+    held = np.array([label[r.vec_id] for r in rows])
+    used = np.unique(held)
+    centres = np.stack([points[held == c].mean(axis=0) for c in used])
+    far = np.linalg.norm(points[:, None, :] - centres[None, :, :], axis=2)
+    assert len(rows) == len(label) and (used[far.argmin(axis=1)] == held).all()
