@@ -37,7 +37,7 @@ from presslens.sources.storage import write_table
 SCALE = 10**9
 PIECE = 1 << 20  # bytes of text looked at together
 BUFFER = 1 << 20  # counted terms that a task holds
-PAIRS = 1 << 20  # pairs of sources at one term that are summed together
+PAIRS = 1 << 17  # pairs of sources at one term that are summed together
 _IS_TERM = np.zeros(256, bool)
 _IS_TERM[np.r_[65:91, 97:123, 128:256]] = True
 PACKED = "lang string, source string, w0 long, w1 long, rest binary, n long, docs long"
@@ -220,82 +220,96 @@ def _term_text() -> Column:
     return F.rtrim(words.cast("string"), F.lit("\0"))
 
 
+def _summed(lang, a, b, value):
+    """Sum the values of equal (lang, a, b)."""
+    order = radix_order(lang.view(np.uint64), a.view(np.uint64), b.view(np.uint64))
+    lang, a, b, value = lang[order], a[order], b[order], value[order]
+    at = run_starts(lang, a, b)
+    return lang[at], a[at], b[at], np.add.reduceat(value, at)
+
+
+def _run_pairs(code, source, p, zero, ends) -> Iterator[tuple[np.ndarray, ...]]:
+    """Summed values of all ordered pairs inside each run [ends[i], ends[i + 1]) of a term.
+
+    Every entry meets its whole run, about PAIRS pairs at a time, so a term of very many sources
+    takes no more memory than others.
+    """
+    begin = np.repeat(ends[:-1], np.diff(ends))
+    width = np.repeat(np.diff(ends), np.diff(ends))
+    done = np.cumsum(width)
+    first = 0
+    while first < len(width):
+        spent = done[first - 1] if first else 0
+        stop = max(first + 1, int(np.searchsorted(done, spent + PAIRS, "right")))
+        own = width[first:stop]
+        left = np.repeat(np.arange(first, stop), own)
+        right = np.arange(len(left)) + np.repeat(begin[first:stop] - (done[first:stop] - own - spent), own)
+        keep = left != right
+        left, right = left[keep], right[keep]
+        x, y, x0, y0 = p[left], p[right], zero[left], zero[right]
+        value = (x - y) * (x - y) // y
+        value -= (x - y0) * (x - y0) // y0
+        value -= (x0 - y) * (x0 - y) // y
+        value += (x0 - y0) * (x0 - y0) // y0
+        if len(left):
+            yield _summed(code[left], source[left], source[right], value)
+        first = stop
+
+
 def _joint_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per pair of sources the part of the sum that only terms of both have; rows sorted by term.
 
     Sums wrap modulo 2**64, and the whole sums fit, so no order of adding them matters.
     """
-    keys: list[tuple[np.ndarray, ...]] = []
-    held = 0
     names: dict[str, int] = {}
-
-    def merged():
-        lang, a, b, value = (np.concatenate(c) for c in zip(*keys))
-        order = radix_order(lang.astype(np.uint64), a.astype(np.uint64), b.astype(np.uint64))
-        lang, a, b, value = lang[order], a[order], b[order], value[order]
-        at = run_starts(lang, a, b)
-        return lang[at], a[at], b[at], np.add.reduceat(value, at)
+    sums: list[tuple[np.ndarray, ...]] = []
+    held = 0
 
     def out():
-        lang, a, b, value = merged()
+        lang, a, b, value = _summed(*(np.concatenate(c) for c in zip(*sums)))
         text = pa.array(list(names), pa.string()).take(pa.array(lang))
         columns = [text, pa.array(a), pa.array(b), pa.array(value)]
         return pa.RecordBatch.from_arrays(columns, names=["lang", "a", "b", "joint"])
 
-    def pairs(code, source, p, zero, ends):
-        """All ordered pairs inside each run of a term; a run is [ends[i], ends[i + 1])."""
-        size = np.diff(ends)
-        left = np.repeat(np.arange(ends[0], ends[-1]), np.repeat(size, size))
-        width = np.repeat(size, size)  # of the run, per left row
-        offset = np.arange(len(left)) - np.repeat(np.cumsum(width) - width, width)
-        right = np.repeat(np.repeat(ends[:-1], size), width) + offset
-        keep = left != right
-        left, right = left[keep], right[keep]
-        f = lambda x, y: (x - y) * (x - y) // y
-        pa_, pb, za, zb = p[left], p[right], zero[left], zero[right]
-        keys.append((code[left], source[left], source[right], f(pa_, pb) - f(pa_, zb) - f(za, pb) + f(za, zb)))
-        return len(left)
-
-    def flush(columns, whole):
-        """Sum the complete runs; the last one waits for the next batch unless `whole`."""
-        nonlocal held, keys
-        term, code, source, p, zero = columns
-        ends = np.append(run_starts(code, *term), len(code))
-        last = len(ends) - 1 if whole else len(ends) - 2
-        first = 0
-        cost = np.cumsum(np.diff(ends).astype(np.int64) ** 2)
-        while first < last:
-            spent = cost[first - 1] if first else 0
-            stop = min(last, max(first + 1, int(np.searchsorted(cost, spent + PAIRS, "right"))))
-            held += pairs(code, source, p, zero, ends[first : stop + 1])
-            if held > 4 * PAIRS:
-                keys = [merged()]
-                held = len(keys[0][0])
-            first = stop
-        rest = ends[last] if last >= 0 else 0
-        return [t[rest:] for t in term], code[rest:], source[rest:], p[rest:], zero[rest:]
-
-    columns = None
-    for batch in batches:
-        text = batch.column("rest").to_pylist()
-        tail = np.empty(len(text), object)
-        tail[:] = text
+    def rows(batch):
+        """Language code, term, source, p and p of count 0 of a batch, in blocks of bounded size."""
+        tail = np.empty(batch.num_rows, object)
+        tail[:] = batch.column("rest").to_pylist()
         code = np.array([names.setdefault(x, len(names)) for x in batch.column("lang").to_pylist()], np.int64)
-        fresh = [np.asarray(batch.column(c), np.int64) for c in ("w0", "w1", "source", "p", "zero")]
-        new = [fresh[0], fresh[1], tail], code, *fresh[2:]
-        if columns is not None:
-            joined = [np.concatenate(x) for x in zip(columns[0], new[0])]
-            new = joined, *(np.concatenate(x) for x in zip(columns[1:], new[1:]))
-        columns = flush(new, False)
-        if held > 8 * PAIRS:
-            yield out()
-            keys, held = [], 0
-    if columns is not None and len(columns[1]):
-        flush(columns, True)
-    if keys:
+        w0, w1, *rest = (np.asarray(batch.column(c), np.int64) for c in ("w0", "w1", "source", "p", "zero"))
+        return [code, w0, w1, tail, *rest]
+
+    waiting = None  # the last run, which may go on in the next batch
+    for batch in _then_none(batches):
+        if batch is not None:
+            if not batch.num_rows:
+                continue
+            fresh = rows(batch)
+            waiting = fresh if waiting is None else [np.concatenate(x) for x in zip(waiting, fresh)]
+        if waiting is None:
+            continue
+        ends = np.append(run_starts(*waiting[:4]), len(waiting[0]))
+        whole = len(ends) - (1 if batch is None else 2)
+        code, source, p, zero = waiting[0], *waiting[4:]
+        for part in _run_pairs(code, source, p, zero, ends[: whole + 1]):
+            sums.append(part)
+            held += len(part[0])
+            if held > 4 * PAIRS:
+                sums = [_summed(*(np.concatenate(c) for c in zip(*sums)))]
+                held = len(sums[0][0])
+                if held > 2 * PAIRS:
+                    yield out()
+                    sums, held = [], 0
+        waiting = [c[ends[whole] :] for c in waiting]
+    if sums:
         yield out()
 
 
+def _then_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
 def audit(docs: DataFrame, min_docs: int = 3, top: int = 200) -> DataFrame:
     """lang, source, part (`pair` or `term`), item, value and rank; see the module text."""
     text = {c: F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source")}
