@@ -32,6 +32,7 @@ CELLS_PER_ROW = 16
 SEGMENT_BITS = 19  # cells of a segment: 64 KB once packed
 MAX_FILTER_BYTES = 256 << 20
 RUN_BYTES = 4 << 20  # hashes counted at a time
+TEST_BYTES = 1 << 20  # hashes tested at a time
 
 
 @F.arrow_udf(BinaryType())
@@ -90,6 +91,13 @@ def _merge(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([segment]), pa.array([bitmap])], names=["segment", "bitmap"])
 
 
+def _sums(hit: np.ndarray, packed: list[bytes], width: int) -> np.ndarray:
+    """Hits in each of the packed values."""
+    before = np.concatenate(([0], np.cumsum(hit)))
+    ends = np.cumsum([0, *(len(v) // width for v in packed)])
+    return before[ends[1:]] - before[ends[:-1]]
+
+
 class RepeatFilter:
     """Tells which hashes possibly occur more than once.
 
@@ -114,16 +122,22 @@ class RepeatFilter:
         """How many of the packed hashes possibly occur more than once."""
         shared, bits, width = self.shared, self.bits, self.width
 
+        def hits(values: list[bytes]) -> np.ndarray:
+            at = _cells(values, width, bits)
+            return (shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(axis=1)
+
         @F.arrow_udf(LongType())
         def count(packed: pa.Array) -> pa.Array:
-            values = packed.to_pylist()
-            if not values:
-                return pa.array([], pa.int64())
-            at = _cells(values, width, bits)
-            hit = (shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(axis=1)
-            before = np.concatenate(([0], np.cumsum(hit)))
-            ends = np.cumsum([0, *(len(v) // width for v in values)])
-            return pa.array(before[ends[1:]] - before[ends[:-1]])
+            out, run, size = [], [], 0
+            for value in packed.to_pylist():
+                run.append(value)
+                size += len(value)
+                if size > TEST_BYTES:
+                    out.append(_sums(hits(run), run, width))
+                    run, size = [], 0
+            if run:
+                out.append(_sums(hits(run), run, width))
+            return pa.array(np.concatenate(out) if out else [], pa.int64())
 
         return count(F.col(column))
 

@@ -16,7 +16,7 @@ bound a member's similarity to all others, and a member with too many of them is
 with nobody there. (They are found by a two-count Bloom filter, whose false alarms
 only weaken the bound.) What is left are pairs of one bucket in different components: each
 bucket keeps its largest component whole and pairs the other members with all of it, in
-blocks of bounded size that spread over tasks; a pair goes on only from the first bucket it
+blocks of bounded size, in members and in shingles, that spread over tasks; a pair goes on only from the first bucket it
 shares, within the bound, with near sketches and, in a large bucket, near sets of hashes. Every pair that shares a bucket is either
 inside a component by then, excluded by an exact bound, or tested: nothing is lost to a cap.
 
@@ -42,6 +42,7 @@ from presslens.sources.storage import write_table
 
 BANDS, ROWS = 32, 4
 BLOCK = 2048  # members on either side of a block of pairs
+BLOCK_SHINGLES = 1 << 18  # shingles of their sets on either side, where a block has the sets
 LARGE = 64  # members of a bucket from which a second pivot and the bound pay
 
 
@@ -372,27 +373,30 @@ def _unsettled(
     placed = shared.select("key", "rep", "n").join(named, "rep").join(live, "rep", "left")
     bounded = F.col("n") > LARGE
     placed = placed.filter(~bounded | (F.col("live") * 100 >= F.col("n_set") * percent))
-    placed = placed.withColumn("live", F.when(bounded, F.col("live"))).drop("n_set", "n")
-    placed = write_table(placed, "placed")
-    sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    carried = F.when(bounded, F.col("n_set")).otherwise(0).alias("carried")
+    live = F.when(bounded, F.col("live")).alias("live")
+    placed = write_table(placed.select("key", "rep", "comp", live, carried), "placed")
+    sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("carried").alias("held"))
     mixed = sizes.groupBy("key").agg(
         F.sum("n").alias("total"),
-        F.max(F.struct("n", "comp")).alias("largest"),
+        F.sum("held").alias("held"),
+        F.max(F.struct("n", "comp", "held")).alias("largest"),
         F.count("*").alias("comps"),
     ).filter("comps > 1")
+    parts = lambda n, held: F.ceil(F.greatest(n / BLOCK, held / BLOCK_SHINGLES)).cast("int")
     mixed = write_table(
         mixed.select(
             "key",
             F.col("largest.comp").alias("major"),
-            F.ceil(F.col("total") / BLOCK).cast("int").alias("cols"),
-            F.ceil((F.col("total") - F.col("largest.n")) / BLOCK).cast("int").alias("rows"),
+            parts(F.col("total"), F.col("held")).alias("cols"),
+            parts(F.col("total") - F.col("largest.n"), F.col("held") - F.col("largest.held")).alias("rows"),
         ),
         "mixed",
     )
     details = reps.select(
         F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), _packed("keys").alias("keys"), "sketch"
     )
-    rows = placed.join(mixed, "key").join(details, "rep")
+    rows = placed.drop("carried").join(mixed, "key").join(details, "rep")
     small = sets.select(F.col("rep").alias("_rep"), "small")
     rows = rows.join(small, F.col("live").isNotNull() & (F.col("rep") == F.col("_rep")), "left")
     rows = rows.withColumn("live", F.coalesce("live", "n"))

@@ -99,6 +99,8 @@ def brute_components(rows, k, percent):
 def test_near_duplicates_equal_brute_force(spark, k, percent, monkeypatch):
     monkeypatch.setattr(near_dedup, "LARGE", 8)
     monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 400)
+    monkeypatch.setattr(exact_dedup, "TEST_BYTES", 1000)
     rows = near_corpus()
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(df, k, percent).collect()}
