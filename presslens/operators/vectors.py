@@ -11,11 +11,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 from presslens.functions.vectors import l2_normalise, layer_norm
 from presslens.operators.dedup import keep_first
 from presslens.operators.ranking import sample_n
+from presslens.sources.storage import write_table
 
 # A side is broadcast only if its vectors were counted to take at most this many bytes.
 BROADCAST_BYTES = 64 << 20
-# Block size of the grid used when both sides are larger.
+# Vectors of a block, and aimed at in a cell of the base, when both sides are larger.
 GRID_ROWS = 16_384
+CELL_ROWS = 4_096
+# Bytes that the centres of all cells may take together; they are sent to every task.
+CENTRE_BYTES = 16 << 20
 # Distance cells computed at a time inside a task.
 _CELLS = 4_000_000
 
@@ -77,6 +81,16 @@ def _nearest(points: np.ndarray, base: np.ndarray, base_ids: np.ndarray, k: int)
             yield exact[order], base_ids[near][order]
 
 
+def euclidean_exact(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Distance matrix from differences, a few rows at a time: relative errors stay tiny."""
+    out = np.empty((len(points), len(centres)))
+    step = max(1, _CELLS // max(1, centres.size))
+    for at in range(0, len(points), step):
+        diff = points[at : at + step, None, :] - centres[None, :, :]
+        out[at : at + step] = np.sqrt((diff**2).sum(axis=2))
+    return out
+
+
 def _neighbour_frame(query_id: str, ids: np.ndarray, found: list) -> pd.DataFrame:
     return pd.DataFrame(
         {
@@ -92,9 +106,24 @@ def _id_type(df: DataFrame, id_col: str) -> str:
     return df.schema[id_col].dataType.simpleString()
 
 
-def _is_small(df: DataFrame, vector: str) -> bool:
-    first = df.select(F.size(vector)).first()
-    rows = BROADCAST_BYTES // (8 * max(1, first[0] if first else 1))
+def sound_vectors(df: DataFrame, vector: str) -> DataFrame:
+    """Rows whose vector is neither null nor holds a null, NaN or infinite element."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return df.filter(F.col(vector).isNotNull() & finite)
+
+
+def _of_one_length(df: DataFrame, vector: str) -> tuple[DataFrame, int, int]:
+    """Sound rows of the most frequent length (the longer on a tie), that length and their number."""
+    sound = sound_vectors(df, vector).withColumn("_dims", F.size(vector)).filter("_dims > 0")
+    counts = sound.groupBy("_dims").agg(F.count("*").alias("n"))
+    most = counts.orderBy(F.desc("n"), F.desc("_dims")).limit(1).first()
+    if most is None:
+        return sound.drop("_dims"), 0, 0
+    return sound.filter(F.col("_dims") == most["_dims"]).drop("_dims"), most["_dims"], most["n"]
+
+
+def _is_small(df: DataFrame, dims: int) -> bool:
+    rows = BROADCAST_BYTES // (8 * max(1, dims))
     return df.limit(rows + 1).count() <= rows
 
 
@@ -116,15 +145,18 @@ def knn(
     """(query_id, neighbour_id, distance, rank): exact k nearest by squared L2, ties by id.
 
     A small base is sent to the query rows and needs no shuffle. Few queries are sent to
-    the base rows; each task keeps k per query and a top-k merges them. When both sides are
-    large they meet block by block on a grid of bounded tasks. Null vectors take no part.
+    the base rows; each task keeps k per query and a top-k merges them. Two large sides meet in
+    cells of the base that bounds leave for a query. Vectors that are null or hold a null, NaN
+    or infinite element take no part on either side, nor do those of another length than most
+    sound base vectors. Query ids should be unique.
     """
-    queries, base = (df.filter(F.col(vector).isNotNull()) for df in (queries, base))
+    base, dims, n_base = _of_one_length(base, vector)
+    queries = sound_vectors(queries, vector).filter(F.size(vector) == dims)
     schema = (
         f"`{query_id}` {_id_type(queries, query_id)}, "
         f"neighbour_id {_id_type(base, base_id)}, distance double, rank int"
     )
-    if _is_small(base, vector):
+    if n_base * dims * 8 <= BROADCAST_BYTES:
         shared = _shipped(base, base_id, vector)
 
         def search_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,7 +167,7 @@ def knn(
                     yield _neighbour_frame(query_id, batch[query_id].to_numpy(), found)
 
         return queries.select(query_id, vector).mapInPandas(search_rows, schema)
-    if _is_small(queries, vector):
+    if _is_small(queries, dims):
         shared = _shipped(queries, query_id, vector)
 
         def search_base(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,35 +186,122 @@ def knn(
 
         found = base.select(F.col(base_id), vector).mapInPandas(search_base, schema)
         return _merge_top_k(found, query_id, k)
-    return _knn_grid(queries, base, query_id, base_id, vector, k, schema)
+    cells = _Cells(base, base_id, vector, dims, n_base)
+    return cells.search(queries, query_id, k, schema)
 
 
-def _knn_grid(queries, base, query_id, base_id, vector, k, schema) -> DataFrame:
-    """Queries and base are hashed into blocks; every query block meets every base block in
-    a task of its own and keeps k per query."""
-    n_query = -(-queries.count() // GRID_ROWS)
-    n_base = -(-base.count() // GRID_ROWS)
-    left = queries.select(query_id, vector).withColumns(
-        {
-            "_row": F.pmod(F.xxhash64(query_id), F.lit(n_query)),
-            "_col": F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_base - 1).cast("bigint"))),
-        }
-    )
-    right = base.select(F.col(base_id), vector).withColumns(
-        {
-            "_row": F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_query - 1).cast("bigint"))),
-            "_col": F.pmod(F.xxhash64(base_id), F.lit(n_base)),
-        }
-    )
+class _Cells:
+    """The base in cells around sampled centres, each with the distances of its nearest and
+    farthest member from the centre.
+
+    By the triangle inequality a member x of a cell with centre c and ring [low, high] is at
+    least max(d(q, c) - high, low - d(q, c)) away from q. A query first visits the cells of the
+    least bounds that hold k vectors between them. The k-th distance found there is an upper
+    bound, and only cells whose lower bound does not exceed it are visited in the second round;
+    the others, with their vectors, are neither copied nor compared. The centres are a sample of
+    bounded size; they decide the work, not the result.
+    """
 
-    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame(columns=[query_id, "neighbour_id", "distance", "rank"])
-        found = _nearest(_matrix(a[vector]), _matrix(b[vector]), b[base_id].to_numpy(), k)
-        return _neighbour_frame(query_id, a[query_id].to_numpy(), list(found))
+    def __init__(self, base: DataFrame, base_id: str, vector: str, dims: int, n_base: int):
+        self.base_id, self.vector = base_id, vector
+        n_cells = max(1, min(-(-n_base // CELL_ROWS), CENTRE_BYTES // (8 * dims)))
+        sample = sample_n(base.select(base_id, vector), [base_id], n_cells).toPandas()
+        centres = _matrix(sample[vector])
+        shared = base.sparkSession.sparkContext.broadcast(centres)
+
+        def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if len(batch):
+                    apart = euclidean_exact(_matrix(batch[vector]), shared.value)
+                    batch["_cell"] = apart.argmin(axis=1)
+                    batch["_far"] = apart.min(axis=1)
+                    yield batch
+
+        kind = base.schema[vector].dataType.simpleString()
+        schema = f"`{base_id}` {_id_type(base, base_id)}, `{vector}` {kind}, _cell bigint, _far double"
+        placed = base.select(base_id, vector).mapInPandas(assign, schema)
+        self.placed = write_table(placed, "cells")
+        rings = self.placed.groupBy("_cell").agg(
+            F.count("*").alias("n"), F.min("_far").alias("low"), F.max("_far").alias("high")
+        )
+        stats = rings.toPandas().sort_values("_cell")  # a row per centre at most
+        # Cells that hold no vector (equal centres) have nothing to visit.
+        self.numbers = stats["_cell"].to_numpy()
+        self.sizes, self.low, self.high = (stats[c].to_numpy() for c in ("n", "low", "high"))
+        self.centres = base.sparkSession.sparkContext.broadcast(centres[self.numbers])
+
+    def _router(self, query_id: str, k: int):
+        """First round (no `_bar`): cells that hold k vectors. Second: the rest within the bar."""
+        vector, numbers, sizes, low, high = self.vector, self.numbers, self.sizes, self.low, self.high
+        centres = self.centres
+
+        def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if not len(batch):
+                    continue
+                apart = euclidean_exact(_matrix(batch[vector]), centres.value)
+                bound = np.maximum(np.maximum(apart - high, low - apart), 0.0)
+                # Roundings of the distances must not lift a bound over a true distance.
+                bound = np.maximum(bound - 1e-9 * (apart + high), 0.0)
+                order = np.lexsort((apart, bound), axis=1)
+                held = np.cumsum(sizes[order], axis=1)
+                first = np.zeros(bound.shape, bool)
+                np.put_along_axis(first, order, held - sizes[order] < k, axis=1)
+                if "_bar" in batch:
+                    bar = np.sqrt(batch["_bar"].to_numpy(np.float64))[:, None] * (1 + 1e-12)
+                    wanted = ~first & ((bound <= bar) | np.isnan(bar))
+                else:
+                    wanted = first
+                row, cell = np.nonzero(wanted)
+                out = batch[[query_id, vector]].iloc[row].reset_index(drop=True)
+                out["_cell"] = numbers[cell]
+                yield out
+
+        return route
+
+    def _meet(self, routed: DataFrame, query_id: str, k: int, schema: str) -> DataFrame:
+        """Neighbours in the cells that queries were routed to, in blocks of bounded size."""
+        base_id, vector = self.base_id, self.vector
+        whole = lambda n: F.sequence(F.lit(0).cast("bigint"), n - 1)
+        needed = routed.groupBy("_cell").agg(F.ceil(F.count("*") / GRID_ROWS).alias("_rows"))
+        blocks = [(int(c), int(-(-n // GRID_ROWS))) for c, n in zip(self.numbers, self.sizes)]
+        cols = routed.sparkSession.createDataFrame(blocks, "_cell bigint, _cols bigint")
+        needed = write_table(needed.join(cols, "_cell"), "needed-cells")
+        left = routed.join(needed, "_cell").withColumns(
+            {
+                "_row": F.pmod(F.xxhash64(query_id), F.col("_rows")),
+                "_col": F.explode(whole(F.col("_cols"))),
+            }
+        )
+        right = self.placed.select(base_id, vector, "_cell").join(needed, "_cell").withColumns(
+            {
+                "_row": F.explode(whole(F.col("_rows"))),
+                "_col": F.pmod(F.xxhash64(base_id), F.col("_cols")),
+            }
+        )
 
-    cells = left.groupBy("_row", "_col").cogroup(right.groupBy("_row", "_col"))
-    return _merge_top_k(cells.applyInPandas(meet, schema), query_id, k)
+        def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+            if not len(a) or not len(b):
+                return pd.DataFrame(columns=[query_id, "neighbour_id", "distance", "rank"])
+            found = _nearest(_matrix(a[vector]), _matrix(b[vector]), b[base_id].to_numpy(), k)
+            return _neighbour_frame(query_id, a[query_id].to_numpy(), list(found))
+
+        key = ["_cell", "_row", "_col"]
+        met = left.drop("_rows", "_cols").groupBy(*key).cogroup(right.drop("_rows", "_cols").groupBy(*key))
+        return _merge_top_k(met.applyInPandas(compare, schema), query_id, k)
+
+    def search(self, queries: DataFrame, query_id: str, k: int, schema: str) -> DataFrame:
+        rows = write_table(queries.select(query_id, self.vector), "queries")
+        kind = queries.schema[self.vector].dataType.simpleString()
+        routed = f"`{query_id}` {_id_type(queries, query_id)}, `{self.vector}` {kind}, _cell bigint"
+        route = self._router(query_id, k)
+        first = write_table(rows.mapInPandas(route, routed), "routed")
+        near = write_table(self._meet(first, query_id, k, schema), "neighbours")
+        bars = near.filter(F.col("rank") == k).select(F.col(query_id), F.col("distance").alias("_bar"))
+        open_ = rows.join(bars, query_id, "left")  # without k vectors so far there is no bar
+        second = write_table(open_.mapInPandas(route, routed), "routed")
+        more = self._meet(second, query_id, k, schema)
+        return _merge_top_k(near.unionByName(more), query_id, k)
 
 
 def diagonal_points(df: DataFrame, vector: str, n: int) -> DataFrame:
@@ -212,11 +331,14 @@ def sample_diagonal(
 def sample_kmeans(
     df: DataFrame, id_col: str, vector: str, k: int = 200, seed: int = 0
 ) -> DataFrame:
-    """The row nearest to each centre of a k-means fitted on all rows."""
+    """The row nearest to each centre of a k-means fitted on all rows with a sound vector of the
+    most frequent length; no rows where there are none."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    known = df.filter(F.col(vector).isNotNull())
+    known, dims, _ = _of_one_length(df, vector)
+    if not dims:
+        return df.limit(0)
     features = known.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
     features = features.persist()  # read once for all rounds
     model = KMeans(k=k, seed=seed).fit(features)
@@ -251,14 +373,19 @@ def kmeans_custom(
 
     distance(points, centres) returns a matrix, vector_fn maps a matrix of raw vectors.
     Each round ships k centres, sums per task and cluster, and returns k rows. A cluster
-    that loses all its members keeps its centre. Rows without a vector get no cluster.
+    that loses all its members keeps its centre. Rows without a sound vector of the most frequent
+    length (see knn) get no cluster; an empty table gives none.
     """
     transform = vector_fn or (lambda m: m)
-    start = sample_n(df.filter(F.col(vector).isNotNull()), [id_col], k, seed).select(vector).collect()  # k rows
+    known, dims, _ = _of_one_length(df, vector)
+    label_schema = f"`{id_col}` {_id_type(df, id_col)}, cluster int"
+    if not dims:
+        return df.sparkSession.createDataFrame([], label_schema)
+    start = sample_n(known, [id_col], k, seed).select(vector).collect()  # k rows
     centres = transform(np.array([r[0] for r in start], dtype=np.float64))
     if len(centres) < k:
         raise ValueError("fewer rows than clusters")
-    rows = df.select(id_col, vector).filter(F.col(vector).isNotNull())
+    rows = known.select(id_col, vector)
     rounds = rows.persist()  # read once for all rounds
 
     def assign(matrix: np.ndarray, current: np.ndarray) -> np.ndarray:
@@ -307,4 +434,4 @@ def kmeans_custom(
                 chosen = assign(_matrix(batch[vector]), final)
                 yield pd.DataFrame({id_col: batch[id_col], "cluster": chosen.astype(np.int32)})
 
-    return rows.mapInPandas(label, f"`{id_col}` {_id_type(df, id_col)}, cluster int")
+    return rows.mapInPandas(label, label_schema)
