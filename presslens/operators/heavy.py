@@ -8,7 +8,7 @@ from pyspark.sql.types import MapType, VariantType
 TRACKED = 10_000  # keys that a sketch follows
 LISTED = 256  # keys that a sketch reports
 SHARE = 0.005  # of a side's rows, from which a key counts as heavy
-SALTS = 16  # tasks that share the rows of a heavy key
+MOST_SALTS = 256  # keys that a heavy key is split into, 4 a task where that is fewer
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -18,21 +18,19 @@ def plan_bytes(df: DataFrame) -> int:
 
 def is_broadcast(df: DataFrame) -> bool:
     """Whether Spark will broadcast df on its own in a join."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    most = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
-    return plan_bytes(df) <= most
+    most = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return plan_bytes(df) <= int(most)
 
 
-def heavy_keys(df: DataFrame, key: Column, share: float = SHARE) -> list[int]:
-    """Hashes (xxhash64) of the keys that hold at least `share` of the rows.
+def heavy_keys(df: DataFrame, key: Column, share: float = SHARE, least: int = 2) -> list[int]:
+    """Hashes (xxhash64) of the keys that hold at least `share` of the rows and `least` rows.
 
     Tasks sketch their rows and the sketches merge, so the pass shuffles one sketch a task. A
     sketch overstates counts at most, so every such key with a share over 1 / TRACKED is found.
     """
     hashed = df.select(F.xxhash64(key).alias("h"))
     row = hashed.agg(F.expr(f"approx_top_k(h, {LISTED}, {TRACKED})").alias("top"), F.count("*").alias("n")).first()
-    least = max(2, share * row.n)
-    return [t["item"] for t in row.top or [] if t["count"] >= least]
+    return [t["item"] for t in row.top or [] if t["count"] >= max(least, share * row.n)]
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -47,7 +45,7 @@ def split_join(
     left_key: Column,
     right_key: Column,
     how: str = "inner",
-    salts: int = SALTS,
+    salts: int | None = None,
     share: float = SHARE,
     also: Column | None = None,
 ) -> DataFrame:
@@ -58,15 +56,18 @@ def split_join(
     dealt on a grid of salts. All other keys join as they would anyway. With a side that Spark
     broadcasts nothing is dealt, as no key is shuffled then. An outer, semi or anti join keeps
     every left row in one place, so there only the left side's heavy keys are dealt. Null keys
-    match nothing. Equal copies of a whole row share a task. `also` restricts the matches.
+    match nothing. Equal copies of a whole row share a task. `also` restricts the matches. A key is
+    dealt only if it has as many rows as salts, so the copies made are no more than the pairs.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join {how}")
     same = left_key == right_key
     if is_broadcast(right) or (how == "inner" and is_broadcast(left)):
         return left.join(right, same if also is None else same & also, how)
-    hot_left = heavy_keys(left, left_key, share)
-    hot_right = heavy_keys(right, right_key, share) if how == "inner" else []
+    if salts is None:
+        salts = min(MOST_SALTS, 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot_left = heavy_keys(left, left_key, share, salts)
+    hot_right = heavy_keys(right, right_key, share, salts) if how == "inner" else []
     if not hot_left and not hot_right:
         return left.join(right, same if also is None else same & also, how)
 

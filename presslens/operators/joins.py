@@ -8,24 +8,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from presslens.functions.text import lower_key, normalise_name
 from presslens.operators.dedup import keep_first, members_of_duplicate_groups
+from presslens.operators.heavy import split_join
 
 
 def join_ci_exact(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
-    """Inner join on lower-cased names."""
-    return left.join(right, lower_key(left[left_on]) == lower_key(right[right_on]))
-
-
-def _normalised_condition(left, right, left_on, right_on, match_empty) -> Column:
-    key = normalise_name(left[left_on])
-    condition = key == normalise_name(right[right_on])
-    return condition if match_empty else condition & (key != "")
+    """Inner join on lower-cased names; rows of frequent names spread over tasks."""
+    return split_join(left, right, lower_key(left[left_on]), lower_key(right[right_on]))
 
 
 def join_normalised(
     left: DataFrame, right: DataFrame, left_on: str, right_on: str, match_empty: bool = False
 ) -> DataFrame:
-    """Inner join on names without case and punctuation."""
-    return left.join(right, _normalised_condition(left, right, left_on, right_on, match_empty))
+    """Inner join on names without case and punctuation; rows of frequent names spread over tasks."""
+    key, other = normalise_name(left[left_on]), normalise_name(right[right_on])
+    if not match_empty:  # names of punctuation match nothing and need not be dealt
+        key, other = (F.when(k != "", k) for k in (key, other))
+    return split_join(left, right, key, other)
 
 
 def left_join_normalised(
@@ -33,14 +31,15 @@ def left_join_normalised(
 ) -> DataFrame:
     """join_normalised keeping every left row.
 
-    A null name normalises to nothing, as one of punctuation does. Left rows that can match nothing get a key of their own (no normalised name holds a
-    zero character), so they are spread over the tasks of the join.
+    A null name normalises to nothing, as one of punctuation does. Left rows that can match
+    nothing get a key of their own (no normalised name holds a zero character), so they are
+    spread over the tasks of the join.
     """
     key = normalise_name(left[left_on])
     if not match_empty:
         row = F.xxhash64(*(left[c] for c in left.columns)).cast("string")
         key = F.when(key != "", key).otherwise(F.concat(F.lit("\0"), row))
-    return left.join(right, key == normalise_name(right[right_on]), "left")
+    return split_join(left, right, key, normalise_name(right[right_on]), "left")
 
 
 def join_ambiguous_names(
@@ -66,7 +65,7 @@ def _attach_best(
             ["_key"],
             [F.desc(size), *tiebreak],
         )
-    return articles.join(keyed, F.col("_mention") == F.col("_key")).drop("_mention", "_key")
+    return split_join(articles, keyed, F.col("_mention"), F.col("_key")).drop("_mention", "_key")
 
 
 def join_name_prefix(
@@ -80,7 +79,8 @@ def join_name_prefix(
     """Company name starts with the mention and a blank.
 
     Every prefix of a name that ends before a blank becomes a row, which turns the
-    prefix test into an equi-join.
+    prefix test into an equi-join. Frequent mentions and prefixes shared by many names are
+    dealt over tasks.
     """
     tokens = F.split(normalise_name(F.col(name)), " ")
     prefixes = F.when(
