@@ -94,16 +94,65 @@ def attribute_in_window_left(
 
     keep_uncovered=False drops an event that has mentions, but none inside the window.
     """
-    pairs = attribute_in_window(
-        events, mentions, on, event_date, mention_date, max_days, null_safe
-    )
-    if keep_uncovered:
-        rest = events.join(pairs.select(event_id).distinct(), event_id, "left_anti")
+    if max_days < 1:
+        joined = events.join(mentions.withColumn("_hit", F.lit(True)), F.lit(False), "left")
     else:
-        known = mentions.select(*(F.col(b).alias(f"_m_{b}") for _, b in on)).distinct()
-        renamed = [(a, f"_m_{b}") for a, b in on]
-        rest = events.join(known, _keys_equal(events, known, renamed, null_safe), "left_anti")
-    return pairs.unionByName(rest, allowMissingColumns=True)
+        # An event lies in one bucket and its mentions in that or the next one, so every pair meets
+        # once and one outer join gives pairs and uncovered events alike.
+        left = events.withColumn("_bucket", F.floor(F.unix_date(F.col(event_date)) / max_days))
+        day = F.unix_date(F.col(mention_date))
+        starts = F.array_distinct(F.array(F.floor((day - max_days + 1) / max_days), F.floor((day - 1) / max_days)))
+        right = mentions.withColumns({"_mention_bucket": F.explode(starts), "_hit": F.lit(True)})
+        condition = (
+            _keys_equal(left, right, on, null_safe)
+            & (left["_bucket"] == right["_mention_bucket"])
+            & _in_window(left[event_date], right[mention_date], max_days)
+        )
+        joined = left.join(right, condition, "left").drop("_bucket", "_mention_bucket")
+    if keep_uncovered:
+        return joined.drop("_hit")
+    known = mentions.select(*(F.col(b).alias(f"_m_{b}") for _, b in on)).distinct()
+    known = known.withColumn("_known", F.lit(True))
+    renamed = [(a, f"_m_{b}") for a, b in on]
+    marked = joined.join(known, _keys_equal(events, known, renamed, null_safe), "left")
+    kept = marked.filter(F.col("_hit").isNotNull() | F.col("_known").isNull())
+    return kept.drop("_hit", "_known", *(b for _, b in renamed))
+
+
+BUCKET_DAYS = 1024  # days of an entity that one running sum goes over
+
+
+def _covered(days: DataFrame, daily: DataFrame, names: list[str], max_days: int) -> DataFrame:
+    """(names, _event, _n): sum of the daily counts `_n` on days in (_event, _event + max_days).
+
+    An event puts two markers on its entity's time line, one on its own day and one on the last day
+    of its window, each behind that day's count. The counts up to the markers, one running sum per
+    entity, differ by the coverage, so no event meets a day. Time lines are cut into buckets
+    whose totals are summed first and carried in, so a busy entity spreads over tasks. Events
+    without mentions in the window are left out.
+    """
+    none = F.lit(0).cast("bigint")
+    event = F.unix_date(F.col("_event"))
+    marker = lambda day, sign: F.struct(day.cast("bigint").alias("d"), F.lit(sign).alias("s"))
+    marks = days.select(*names, "_event", F.explode(F.array(marker(event, -1), marker(event + max_days - 1, 1))).alias("m"))
+    marks = marks.select(*names, "_event", F.col("m.d").alias("_d"), none.alias("_n"), F.col("m.s").alias("_sign"))
+    counted = daily.filter(F.col("_day").isNotNull()).na.drop(subset=names).select(
+        *names, F.lit(None).cast(days.schema["_event"].dataType).alias("_event"),
+        F.unix_date("_day").cast("bigint").alias("_d"), "_n", F.lit(0).alias("_sign"),
+    )
+    line = counted.unionByName(marks).withColumn("_bucket", F.floor(F.col("_d") / BUCKET_DAYS))
+    totals = line.groupBy(*names, "_bucket").agg(F.sum("_n").alias("_total"))
+    before = Window.partitionBy(*names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(*names, "_bucket", F.coalesce(F.sum("_total").over(before), none).alias("_carried"))
+    within = Window.partitionBy(*names, "_bucket").orderBy("_d", F.abs("_sign")).rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    summed = line.withColumn("_sum", F.sum("_n").over(within)).filter("_sign != 0")
+    summed = summed.join(carried, [*names, "_bucket"])
+    covered = summed.groupBy(*names, "_event").agg(
+        F.sum(F.col("_sign") * (F.col("_sum") + F.col("_carried"))).alias("_n")
+    )
+    return covered.filter("_n > 0")
 
 
 def coverage_per_event(
@@ -120,7 +169,8 @@ def coverage_per_event(
     """Number of mentions inside the window of each event, zero included.
 
     Mentions are counted per entity and day first and events are reduced to entity and
-    date, so neither a busy day nor a repeated event multiplies rows.
+    date, so neither a busy day nor a repeated event multiplies rows; running sums over the
+    days then give the windows.
     keep_uncovered=False drops events that have mentions only outside the window;
     drop_null_in drops events with a null in one of these columns.
     """
@@ -132,19 +182,8 @@ def coverage_per_event(
     ).agg(F.count("*").alias("_n"))
     days = events.select(
         *(F.col(a).alias(n) for n, (a, _) in zip(names, on)), F.col(event_date).alias("_event")
-    ).distinct()
-    same = [(n, n) for n in names]
-    left, right = days.alias("e"), daily.alias("m")
-    left = left.withColumn("_bucket", _window_buckets(F.col("_event"), max_days))
-    right = right.withColumn("_mb", F.floor(F.unix_date("_day") / max_days)).withColumnsRenamed(
-        {n: f"_m{n}" for n in names}
-    )
-    condition = (
-        reduce(Column.__and__, (F.col(n) == F.col(f"_m{n}") for n in names))
-        & (F.col("_bucket") == F.col("_mb"))
-        & _in_window(F.col("_event"), F.col("_day"), max_days)
-    )
-    covered = left.join(right, condition).groupBy(*names, "_event").agg(F.sum("_n").alias(out))
+    ).na.drop().distinct()
+    covered = _covered(days, daily, names, max_days).withColumnRenamed("_n", out)
     counts = covered.alias("c")
     match = [F.col(a) == F.col(n) for n, (a, _) in zip(names, on)]
     joined = events.join(

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 _CHUNK = 2048
 _MAX_OPEN_GROUPS = 256
@@ -60,12 +61,16 @@ def bootstrap_totals(
         *(F.coalesce(F.col(v).cast("double"), F.lit(0.0)).alias(v) for v in values),
     )
 
+    integral = {f.name for f in rows.schema if isinstance(f.dataType, IntegralType)}
+
     def emit(sums: dict) -> Iterator[pd.DataFrame]:
         for name, matrix in sums.items():
             out = pd.DataFrame(matrix, columns=values)
             out.insert(0, "replicate", np.arange(n, dtype=np.int64))
             for column, value in zip(groups, name):
-                out[column] = value
+                whole = column in integral and not pd.isna(value)
+                value = None if pd.isna(value) else int(value) if whole else value
+                out[column] = pd.Series([value] * n, dtype=object)  # typed by the schema, also where null
             yield out[[*groups, "replicate", *values]]
 
     def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
