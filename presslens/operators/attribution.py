@@ -119,17 +119,15 @@ def attribute_in_window_left(
     return kept.drop("_hit", "_known", *(b for _, b in renamed))
 
 
-BUCKET_DAYS = 1024  # days of an entity that one running sum goes over
-
-
 def _covered(days: DataFrame, daily: DataFrame, names: list[str], max_days: int) -> DataFrame:
     """(names, _event, _n): sum of the daily counts `_n` on days in (_event, _event + max_days).
 
     An event puts two markers on its entity's time line, one on its own day and one on the last day
     of its window, each behind that day's count. The counts up to the markers, one running sum per
-    entity, differ by the coverage, so no event meets a day. Time lines are cut into buckets
-    whose totals are summed first and carried in, so a busy entity spreads over tasks. Events
-    without mentions in the window are left out.
+    entity, differ by the coverage, so no event meets a day. The daily counts of a busy entity were
+    added up in the tasks; its time line has a row a day and two per distinct event date, so
+    the calendar bounds what one running sum goes over. Events without mentions in the window are
+    left out.
     """
     none = F.lit(0).cast("bigint")
     event = F.unix_date(F.col("_event"))
@@ -140,18 +138,9 @@ def _covered(days: DataFrame, daily: DataFrame, names: list[str], max_days: int)
         *names, F.lit(None).cast(days.schema["_event"].dataType).alias("_event"),
         F.unix_date("_day").cast("bigint").alias("_d"), "_n", F.lit(0).alias("_sign"),
     )
-    line = counted.unionByName(marks).withColumn("_bucket", F.floor(F.col("_d") / BUCKET_DAYS))
-    totals = line.groupBy(*names, "_bucket").agg(F.sum("_n").alias("_total"))
-    before = Window.partitionBy(*names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*names, "_bucket", F.coalesce(F.sum("_total").over(before), none).alias("_carried"))
-    within = Window.partitionBy(*names, "_bucket").orderBy("_d", F.abs("_sign")).rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    summed = line.withColumn("_sum", F.sum("_n").over(within)).filter("_sign != 0")
-    summed = summed.join(carried, [*names, "_bucket"])
-    covered = summed.groupBy(*names, "_event").agg(
-        F.sum(F.col("_sign") * (F.col("_sum") + F.col("_carried"))).alias("_n")
-    )
+    upto = Window.partitionBy(*names).orderBy("_d", F.abs("_sign")).rowsBetween(Window.unboundedPreceding, 0)
+    summed = counted.unionByName(marks).withColumn("_sum", F.sum("_n").over(upto)).filter("_sign != 0")
+    covered = summed.groupBy(*names, "_event").agg(F.sum(F.col("_sign") * F.col("_sum")).alias("_n"))
     return covered.filter("_n > 0")
 
 

@@ -8,18 +8,20 @@ from pyspark.sql.types import MapType, VariantType
 TRACKED = 10_000  # keys that a sketch follows
 LISTED = 256  # keys that a sketch reports
 SHARE = 0.005  # of a side's rows, from which a key counts as heavy
+SMALL_BYTES = 64 << 20  # sources of a side that a task takes whole
 MOST_SALTS = 256  # keys that a heavy key is split into, 4 a task where that is fewer
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Size of df as Spark's planner puts it, which is what it decides a broadcast by."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def source_bytes(df: DataFrame) -> int:
+    """Bytes that df is read from, as far as the planner knows."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 def is_broadcast(df: DataFrame) -> bool:
-    """Whether Spark will broadcast df on its own in a join."""
+    """Whether Spark's planner will broadcast df on its own in a join."""
     most = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return plan_bytes(df) <= int(most)
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= int(most)
 
 
 def heavy_keys(df: DataFrame, key: Column, share: float = SHARE, least: int = 2) -> list[int]:
@@ -54,7 +56,8 @@ def split_join(
     The rows of a heavy key of one side are dealt over `salts` tasks by a hash of the row, and the
     other side's rows with that key go to each of them; a key that is heavy on both sides is
     dealt on a grid of salts. All other keys join as they would anyway. With a side that Spark
-    broadcasts nothing is dealt, as no key is shuffled then. An outer, semi or anti join keeps
+    broadcasts nothing is dealt, as no key is shuffled then, nor with sides read from at most
+    SMALL_BYTES each, where the hottest key fits a task. An outer, semi or anti join keeps
     every left row in one place, so there only the left side's heavy keys are dealt. Null keys
     match nothing. Equal copies of a whole row share a task. `also` restricts the matches. A key is
     dealt only if it has as many rows as salts, so the copies made are no more than the pairs.
@@ -62,7 +65,8 @@ def split_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join {how}")
     same = left_key == right_key
-    if is_broadcast(right) or (how == "inner" and is_broadcast(left)):
+    small = source_bytes(left) <= SMALL_BYTES and source_bytes(right) <= SMALL_BYTES
+    if small or is_broadcast(right) or (how == "inner" and is_broadcast(left)):
         return left.join(right, same if also is None else same & also, how)
     if salts is None:
         salts = min(MOST_SALTS, 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -11,6 +11,8 @@ from presslens.sources.storage import write_table
 
 # Bits of the key below each round's bucket: 22, 21 and 21 bits are decided in turn.
 SHIFTS = (42, 21, 0)
+# Rows of a bucket up to which the next round decides all bits that are left.
+LAST_BUCKET = 1 << 20
 
 
 @F.arrow_udf(LongType())
@@ -52,8 +54,9 @@ def select_ranks(keyed: DataFrame, keys: list[str], wanted: DataFrame) -> DataFr
     """
     state, above = wanted, None
     for shift in SHIFTS:
-        bucket = F.shiftright("_key", shift)
-        rows = keyed.withColumn("_bucket", bucket)
+        if above is not None and shift and (state.agg(F.max("_rows")).first()[0] or 0) <= LAST_BUCKET:
+            continue
+        rows = keyed.withColumn("_bucket", F.shiftright("_key", shift))
         if above is None:
             known = keys
         else:
@@ -64,12 +67,12 @@ def select_ranks(keyed: DataFrame, keys: list[str], wanted: DataFrame) -> DataFr
         counts = rows.groupBy(*known, "_bucket").agg(F.count("*").alias("_n"))
         upto = F.sum("_n").over(Window.partitionBy(*known).orderBy("_bucket"))
         counts = _renamed(counts.withColumn("_upto", upto), known)
-        found = _matched(state, counts, known, "inner")
+        found = _matched(state.drop("_rows"), counts, known, "inner")
         found = found.filter((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
-        found = found.withColumn("_rank", F.col("_rank") - F.col("_upto") + F.col("_n"))
-        state = write_table(found.drop("_prefix", "_n", "_upto").withColumnRenamed("_bucket", "_prefix"), "ranks")
+        found = found.withColumn("_rank", F.col("_rank") - F.col("_upto") + F.col("_n")).drop("_prefix", "_upto")
+        state = write_table(found.withColumnsRenamed({"_bucket": "_prefix", "_n": "_rows"}), "ranks")
         above = shift
-    return state.withColumnRenamed("_prefix", "_value").drop("_rank")
+    return state.withColumnRenamed("_prefix", "_value").drop("_rank", "_rows")
 
 
 def exact_percentiles(
@@ -78,7 +81,8 @@ def exact_percentiles(
     """Linear-interpolated percentiles (as pandas and `percentile`) per group.
 
     Neither all values of a group nor its distinct ones are gathered: three counting passes over
-    64-bit keys in the order of the values narrow every wanted rank to one value. Nulls do not
+    64-bit keys in the order of the values, two where buckets are small, narrow every wanted rank to
+    one value. Nulls do not
     count; NaN counts as the largest value, as in Spark's `percentile`, whatever the order of
     rows. Rows with a null in a group column are a group of their own. A group without values
     has no row, nor does a table without values when there are no groups.
@@ -101,7 +105,7 @@ def exact_percentiles(
     wanted = asked.withColumn("_e", ends).select(
         *keys, "_i", F.col("_e.e").alias("_end"), F.col("_e.r").alias("_rank"), (F.col("_at") - F.floor("_at")).alias("_w")
     )
-    found = select_ranks(keyed, keys, write_table(wanted, "ranks"))
+    found = select_ranks(keyed, keys, wanted)
     found = found.select(*keys, "_i", "_end", "_w", key_value("_value").alias("_x"))
     side = lambda e: F.max(F.when(F.col("_end") == e, F.col("_x")))
     pairs = found.groupBy(*keys, "_i", "_w").agg(side(0).alias("_v0"), side(1).alias("_v1"))
