@@ -160,7 +160,7 @@ def c04(spark, d):
             n AS (SELECT q.doc_id, e.source, e.lang, e.label, row_number() OVER (
                     PARTITION BY q.doc_id ORDER BY list_distance(q.embedding, e.embedding), e.doc_id) AS rank
                   FROM (SELECT v.* FROM v JOIN s USING (doc_id)) q
-                  JOIN (SELECT * FROM v WHERE label < 2) e ON true QUALIFY rank <= 6),
+                  JOIN (SELECT * FROM v WHERE doc_id IN (SELECT doc_id FROM labels)) e ON true QUALIFY rank <= 6),
             x AS (SELECT doc_id, string_agg('Source : ' || source || chr(10) || 'Lang : ' || lang || chr(10)
                            || 'Label : ' || label, chr(10) || chr(10) ORDER BY rank) AS examples
                   FROM n GROUP BY doc_id)
@@ -174,7 +174,8 @@ def c05(spark, d):
     vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding", "label")
     rows = table(spark, d, "documents").select("doc_id", "lang", "source").join(vectors, "doc_id")
     block = lines_of({"Source": "source", "Lang": "lang", "Label": "label"}).alias("block")
-    examples = rows.filter("label < 2").select(F.col("doc_id").alias("example_id"), "embedding", block)
+    labelled = rows.join(table(spark, d, "labels"), "doc_id", "left_semi")
+    examples = labelled.select(F.col("doc_id").alias("example_id"), "embedding", block)
     prompts = P.labelled_prompt_set(
         rows, examples, "doc_id", "example_id", "embedding", "block",
         {"Source": "source", "Lang": "lang"}, "Label it.",

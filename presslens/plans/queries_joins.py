@@ -54,16 +54,19 @@ def j02(spark, d):
 
 @query(
     "j03_left_join_normalised",
-    """SELECT breach_id, company_id FROM breaches_v
-       LEFT JOIN (SELECT * FROM companies_v WHERE industry <> 'MACHINERY') c
-       ON regexp_replace(lower(organisation), '[^a-z0-9]', '', 'g')
-        = regexp_replace(lower(name), '[^a-z0-9]', '', 'g')""",
+    """SELECT company_id, name, breach_id FROM (
+         SELECT company_id, name FROM companies_v UNION ALL SELECT s_suppkey, s_name FROM supplier)
+       LEFT JOIN breaches_v
+       ON regexp_replace(lower(name), '[^a-z0-9]', '', 'g')
+        = regexp_replace(lower(organisation), '[^a-z0-9]', '', 'g')""",
     ("breaches_v", "companies_v"),
 )
 def j03(spark, d):
-    known = companies(spark, d).filter("industry <> 'MACHINERY'")
-    joined = J.left_join_normalised(breaches(spark, d), known, "organisation", "name")
-    return joined.select("breach_id", "company_id")
+    """All companies and suppliers, of which the latter have no breach."""
+    suppliers = table(spark, d, "supplier").select(F.col("s_suppkey").alias("company_id"), F.col("s_name").alias("name"))
+    known = companies(spark, d).select("company_id", "name").unionByName(suppliers)
+    joined = J.left_join_normalised(known, breaches(spark, d), "name", "organisation")
+    return joined.select("company_id", "name", "breach_id")
 
 
 @query(
@@ -210,15 +213,17 @@ def j10(spark, d):
 
 @query(
     "j11_natural_join_all",
-    """SELECT lang, source, n_docs, n_long FROM (
+    """SELECT lang, source, n_docs, n_labelled FROM (
          SELECT lang, source, count(*) AS n_docs FROM documents GROUP BY ALL) NATURAL JOIN (
-         SELECT lang, source, count(*) AS n_long FROM documents WHERE n_chars > 2000 GROUP BY ALL)""",
+         SELECT lang, source, count(*) AS n_labelled FROM documents
+         WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY ALL)""",
 )
 def j11(spark, d):
-    docs = table(spark, d, "documents").select("lang", "source", "n_chars")
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source")
+    labelled = docs.join(table(spark, d, "labels"), "doc_id", "left_semi")
     return J.natural_join_all(
         docs.groupBy("lang", "source").agg(F.count("*").alias("n_docs")),
-        docs.filter("n_chars > 2000").groupBy("lang", "source").agg(F.count("*").alias("n_long")),
+        labelled.groupBy("lang", "source").agg(F.count("*").alias("n_labelled")),
     )
 
 
@@ -331,16 +336,16 @@ def u01(spark, d):
 @query(
     "u02_rows_once",
     """SELECT lang, source, text FROM (
-         SELECT lang, source, text FROM documents WHERE n_chars > 300
-         UNION ALL SELECT lang, source, text FROM documents WHERE n_chars < 2000)
+         SELECT lang, source, text FROM documents
+         UNION ALL SELECT lang, source, text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels))
        GROUP BY ALL HAVING count(*) = 1""",
 )
 def u02(spark, d):
+    """Documents that are neither labelled nor a copy of another one."""
     docs = table(spark, d, "documents")
+    labelled = docs.join(table(spark, d, "labels"), "doc_id", "left_semi")
     columns = ["lang", "source", "text"]
-    return U.rows_once(
-        docs.filter("n_chars > 300").select(*columns), docs.filter("n_chars < 2000").select(*columns)
-    )
+    return U.rows_once(docs.select(*columns), labelled.select(*columns))
 
 
 @query(

@@ -60,9 +60,10 @@ def _embedded(spark, d):
     return docs.join(vectors, "doc_id")
 
 
-def _examples(rows):
+def _examples(spark, d, rows):
+    """Prompt blocks of the documents that the labels cover."""
     block = L.lines_of({"Source": "source", "Lang": "lang", "Label": "label"})
-    labelled = rows.filter("label < 2")
+    labelled = rows.join(table(spark, d, "labels"), "doc_id", "left_semi")
     return labelled.select(F.col("doc_id").alias("example_id"), "embedding", block.alias("block"))
 
 
@@ -71,7 +72,7 @@ NEAR_SQL = """near AS (
            row_number() OVER (PARTITION BY q.doc_id ORDER BY list_distance(
              q.embedding::DOUBLE[], e.embedding::DOUBLE[]), e.doc_id) AS rank
     FROM (SELECT vec_id AS doc_id, embedding FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents)) q
-    JOIN (SELECT vec_id AS doc_id, embedding FROM embeddings WHERE label < 2
+    JOIN (SELECT vec_id AS doc_id, embedding FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels)
           AND vec_id IN (SELECT doc_id FROM documents)) e ON true
     QUALIFY rank <= 6),
   blocks AS (SELECT n.doc_id, string_agg('Source : ' || source || chr(10) || 'Lang : ' || lang ||
@@ -91,7 +92,7 @@ NEAR_SQL = """near AS (
 )
 def x03(spark, d):
     rows = _embedded(spark, d)
-    chosen = L.select_examples(rows, _examples(rows), "doc_id", "example_id", "embedding", "block")
+    chosen = L.select_examples(rows, _examples(spark, d, rows), "doc_id", "example_id", "embedding", "block")
     prompts = L.build_prompt(
         chosen, "Is this about a breach?", "examples", {"Source": "source", "Lang": "lang"}
     )
@@ -117,7 +118,7 @@ def x03_fragment(spark, d):
 )
 def x04(spark, d):
     rows = _embedded(spark, d)
-    chosen = L.select_examples(rows, _examples(rows), "doc_id", "example_id", "embedding", "block")
+    chosen = L.select_examples(rows, _examples(spark, d, rows), "doc_id", "example_id", "embedding", "block")
     return chosen.select("doc_id", F.array_join("examples", "\n\n").alias("examples"))
 
 
