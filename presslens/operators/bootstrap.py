@@ -3,6 +3,10 @@
 A resample is described by how often each row is drawn. Drawing n*frac rows with
 replacement makes these counts Poisson(frac) for large n, and a hash of row key and
 replicate number decides them, so results do not depend on partitioning.
+
+Any statistic that is a function of sums can be resampled: name the sums (`moments`), and give the
+statistics as columns over them. Replicates of the sums are added up in the tasks, and the
+statistics are worked out once per replicate.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegralType
 
 _CHUNK = 2048
@@ -39,6 +43,12 @@ def _poisson_steps(mean: float) -> np.ndarray:
     return np.cumsum(np.exp(logs))
 
 
+def row_key(key: list[str], seed: int) -> Column:
+    """60 bits of an MD5 over the key columns and the seed, null parts left out."""
+    text = F.concat_ws("|", *(F.col(k).cast("string") for k in key), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def bootstrap_totals(
     df: DataFrame,
     key: list[str],
@@ -57,7 +67,7 @@ def bootstrap_totals(
     steps = _poisson_steps(frac)
     rows = df.select(
         *groups,
-        F.xxhash64(*key, F.lit(seed)).alias("_key"),
+        row_key(key, seed).alias("_key"),
         *(F.coalesce(F.col(v).cast("double"), F.lit(0.0)).alias(v) for v in values),
     )
 
@@ -116,6 +126,91 @@ def percentile_interval(
     )
 
 
+def bootstrap_statistics_ci(
+    df: DataFrame,
+    key: list[str],
+    moments: dict[str, Column],
+    stats: dict[str, Column],
+    groups: list[str] | None = None,
+    n: int = 1000,
+    frac: float = 1.0,
+    alpha: float = 0.05,
+    seed: int = 42,
+) -> DataFrame:
+    """(groups, statistic, low, high, n_replicates): intervals of several statistics at once.
+
+    `moments` are columns that are summed over a resample (a null adds nothing), `stats` columns
+    over these sums. A replicate in which a statistic is null, such as a ratio with the
+    denominator 0, is left out for that statistic; with none left it has no row.
+    """
+    groups = groups or []
+    rows = df.select(*groups, *(F.col(k).alias(f"_k{i}") for i, k in enumerate(key)), *(c.alias(m) for m, c in moments.items()))
+    keys = [f"_k{i}" for i in range(len(key))]
+    totals = bootstrap_totals(rows, keys, list(moments), groups, n, frac, seed)
+    each = F.explode(F.array(*(F.struct(F.lit(s).alias("statistic"), c.cast("double").alias("_stat")) for s, c in stats.items())))
+    values = totals.select(*groups, each.alias("_s")).select(*groups, "_s.statistic", "_s._stat")
+    return percentile_interval(values, "_stat", [*groups, "statistic"], alpha)
+
+
+def regression_moments(x: Column, y: Column, x0: float = 0.0, y0: float = 0.0) -> dict[str, Column]:
+    """Sums for a line and a correlation over rows with both values, measured from (x0, y0)."""
+    both = x.isNotNull() & y.isNotNull()
+    u, v = x.cast("double") - x0, y.cast("double") - y0
+    sums = {"n": F.lit(1.0), "sx": u, "sy": v, "sxx": u * u, "sxy": u * v, "syy": v * v}
+    return {name: F.when(both, c) for name, c in sums.items()}
+
+
+def _spread(a: str, b: str, product: str) -> Column:
+    return F.col("n") * F.col(product) - F.col(a) * F.col(b)
+
+
+def slope() -> Column:
+    return F.try_divide(_spread("sx", "sy", "sxy"), _spread("sx", "sx", "sxx"))
+
+
+def line_at(x: float, x0: float = 0.0, y0: float = 0.0) -> Column:
+    """Height of the fitted line at x, with the origin that the moments were measured from."""
+    middle = F.try_divide(F.col("sx"), F.col("n"))
+    return F.lit(y0) + F.try_divide(F.col("sy"), F.col("n")) + slope() * (F.lit(x - x0) - middle)
+
+
+def correlation() -> Column:
+    scale = F.sqrt(F.greatest(_spread("sx", "sx", "sxx"), F.lit(0.0)) * F.greatest(_spread("sy", "sy", "syy"), F.lit(0.0)))
+    return F.try_divide(_spread("sx", "sy", "sxy"), scale)
+
+
+def confusion_moments(truth: Column, predicted: Column) -> dict[str, Column]:
+    """Counts of a yes/no classifier; rows without truth or prediction count nowhere."""
+    cells = {"tp": truth & predicted, "fp": ~truth & predicted, "fn": truth & ~predicted, "tn": ~truth & ~predicted}
+    return {name: F.when(c, 1.0) for name, c in cells.items()}
+
+
+def precision() -> Column:
+    return F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
+
+
+def recall() -> Column:
+    return F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))
+
+
+def f1() -> Column:
+    return F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
+
+
+def resampled_band(
+    df: DataFrame, key: list[str], x: str, y: str, grid: list[float], n: int = 1000,
+    frac: float = 1.0, alpha: float = 0.05, seed: int = 42,
+) -> DataFrame:
+    """(grid, low, high, n_replicates): band of a regression line from resampled fits."""
+    # Measured from the means, so that far-off values do not cancel.
+    means = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).agg(F.avg(x).alias("x"), F.avg(y).alias("y")).first()
+    x0, y0 = (float(m) if m is not None else 0.0 for m in means)
+    stats = {repr(float(g)): line_at(float(g), x0, y0) for g in grid}
+    moments = regression_moments(F.col(x), F.col(y), x0, y0)
+    band = bootstrap_statistics_ci(df, key, moments, stats, None, n, frac, alpha, seed)
+    return band.select(F.col("statistic").cast("double").alias("grid"), "low", "high", "n_replicates")
+
+
 def bootstrap_mean_ci(
     df: DataFrame,
     key: list[str],

@@ -172,12 +172,94 @@ def t07(spark, d):
     return B.bootstrap_share_ci(articles(spark, d).select("publication"), "publication", n=1000)
 
 
-@query("t07_bootstrap_mean_ci")
+def _replicates_sql(rows: str, key: str, n: int, frac: float, seed: int = 42) -> str:
+    """`drawn`: the rows of `rows` with every replicate and how often it draws them."""
+    steps = ", ".join(repr(float(s)) for s in B._poisson_steps(frac) if s < 1)
+    wrap = 1 << 64
+    mixed = f"(({key}::UHUGEINT + (r + 1)::UHUGEINT * {0x9E3779B97F4A7C15}) % {wrap})::UBIGINT"
+    words = [f"h0 AS (SELECT *, {mixed} AS z FROM keyed, range({n}) t(r))"]
+    for i, (shift, factor) in enumerate(((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB))):
+        step = f"((xor(z, z >> {shift}))::UHUGEINT * {factor} % {wrap})::UBIGINT"
+        words.append(f"h{i + 1} AS (SELECT * REPLACE ({step} AS z) FROM h{i})")
+    return f"""keyed AS ({rows}), {", ".join(words)},
+        drawn AS (SELECT *, len(list_filter([{steps}], lambda s: s <= u)) AS w FROM (
+            SELECT *, (xor(z, z >> 31) >> 11)::DOUBLE / 9007199254740992 AS u FROM h2))"""
+
+
+def _key_sql(column: str) -> str:
+    return f"('0x' || substr(md5({column} || '|42'), 1, 15))::UBIGINT"
+
+
+def _interval_sql(value: str) -> str:
+    return f"round(quantile_cont({value}, 0.025), 6) AS low, round(quantile_cont({value}, 0.975), 6) AS high"
+
+
+@query(
+    "t07_bootstrap_mean_ci",
+    f"""WITH {_replicates_sql(f"SELECT o_orderpriority, o_totalprice AS x, {_key_sql('o_orderkey')} AS key FROM orders", "key", 200, 0.2)},
+        m AS (SELECT o_orderpriority, r, sum(w * x) / sum(w) AS v FROM drawn GROUP BY ALL HAVING sum(w) > 0)
+        SELECT o_orderpriority, {_interval_sql("v")}, count(*) AS n_replicates FROM m GROUP BY ALL""",
+)
 def t07_mean(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    return B.bootstrap_mean_ci(
+    found = B.bootstrap_mean_ci(
         orders, ["o_orderkey"], "o_totalprice", ["o_orderpriority"], n=200, frac=0.2
     )
+    return rounded(found, "low", "high", digits=6)
+
+
+@query(
+    "t07_bootstrap_regression",
+    f"""WITH {_replicates_sql(f"SELECT p_brand, p_size AS x, p_retailprice AS y, {_key_sql('p_partkey')} AS key FROM part", "key", 50, 1.0)},
+        m AS (SELECT p_brand, r, sum(w) AS n, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * y) AS sxy,
+                     sum(w * x * x) AS sxx, sum(w * y * y) AS syy FROM drawn GROUP BY ALL),
+        s AS (SELECT p_brand, (n * sxy - sx * sy) / nullif(n * sxx - sx * sx, 0) AS slope,
+                     (n * sxy - sx * sy) / nullif(sqrt(greatest(n * sxx - sx * sx, 0) * greatest(n * syy - sy * sy, 0)), 0) AS r
+              FROM m)
+        SELECT p_brand, 'slope' AS statistic, {_interval_sql("slope")}, count(slope) AS n_replicates FROM s GROUP BY ALL
+        UNION ALL SELECT p_brand, 'r', {_interval_sql("r")}, count(r) FROM s GROUP BY ALL""",
+)
+def t07_regression(spark, d):
+    part = table(spark, d, "part").select("p_partkey", "p_brand", "p_size", "p_retailprice")
+    moments = B.regression_moments(F.col("p_size"), F.col("p_retailprice"))
+    stats = {"slope": B.slope(), "r": B.correlation()}
+    found = B.bootstrap_statistics_ci(part, ["p_partkey"], moments, stats, ["p_brand"], n=50)
+    return rounded(found, "low", "high", digits=6)
+
+
+@query(
+    "t07_bootstrap_rates",
+    f"""WITH {_replicates_sql(f"SELECT quality = 1 AS t, n_chars >= 500 AS p, {_key_sql('doc_id')} AS key FROM labels JOIN documents USING (doc_id)", "key", 100, 1.0)},
+        m AS (SELECT r, sum(CASE WHEN t AND p THEN w ELSE 0 END) AS tp, sum(CASE WHEN NOT t AND p THEN w ELSE 0 END) AS fp,
+                     sum(CASE WHEN t AND NOT p THEN w ELSE 0 END) AS fn FROM drawn GROUP BY r),
+        s AS (SELECT 'precision' AS statistic, tp / nullif(tp + fp, 0) AS v FROM m
+              UNION ALL SELECT 'recall', tp / nullif(tp + fn, 0) FROM m
+              UNION ALL SELECT 'f1', 2 * tp / nullif(2 * tp + fp + fn, 0) FROM m)
+        SELECT statistic, {_interval_sql("v")}, count(v) AS n_replicates FROM s GROUP BY statistic""",
+)
+def t07_rates(spark, d):
+    """How well length tells the quality label of a document."""
+    docs = table(spark, d, "documents").select("doc_id", "n_chars")
+    rows = table(spark, d, "labels").select("doc_id", "quality").join(docs, "doc_id")
+    moments = B.confusion_moments(F.col("quality") == 1, F.col("n_chars") >= 500)
+    stats = {"precision": B.precision(), "recall": B.recall(), "f1": B.f1()}
+    found = B.bootstrap_statistics_ci(rows, ["doc_id"], moments, stats, n=100)
+    return rounded(found, "low", "high", digits=6)
+
+
+@query(
+    "t11_resampled_band",
+    f"""WITH {_replicates_sql(f"SELECT p_size AS x, p_retailprice AS y, {_key_sql('p_partkey')} AS key FROM part", "key", 100, 1.0)},
+        m AS (SELECT r, sum(w) AS n, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * y) AS sxy,
+                     sum(w * x * x) AS sxx FROM drawn GROUP BY r),
+        f AS (SELECT unnest([0.0, 10.0, 25.0, 50.0])::DOUBLE AS grid, sy / n AS my, sx / n AS mx,
+                     (n * sxy - sx * sy) / (n * sxx - sx * sx) AS b FROM m)
+        SELECT grid, {_interval_sql("my + b * (grid - mx)")}, count(*) AS n_replicates FROM f GROUP BY grid""",
+)
+def t11_resampled(spark, d):
+    part = table(spark, d, "part").select("p_partkey", "p_size", "p_retailprice")
+    band = B.resampled_band(part, ["p_partkey"], "p_size", "p_retailprice", [0.0, 10.0, 25.0, 50.0], n=100)
+    return rounded(band, "low", "high", digits=6)
 
 
 @query(

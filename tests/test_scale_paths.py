@@ -235,3 +235,28 @@ def test_bootstrap_with_null_groups(spark):
         found = bootstrap.bootstrap_mean_ci(df, ["id"], "x", groups, n=20, frac=1.0).collect()
         assert len(found) == len({tuple(r[c] for c in groups) for r in df.collect()})
         assert all(r.low == r.high == 1.0 for r in found)
+
+
+def test_replicate_statistics_equal_their_definitions(spark):
+    draw = random.Random(12)
+    rows = [(i, float(i % 9), 3.0 * (i % 9) + draw.gauss(0, 2), i % 3 == 0, i % 4 == 0) for i in range(80)]
+    rows += [(100, None, 1.0, None, True), (101, 2.0, None, True, None)]
+    df = spark.createDataFrame(rows, "id long, x double, y double, t boolean, p boolean")
+    n = 30
+    key = df.select(bootstrap.row_key(["id"], 42).alias("k")).toPandas()["k"].to_numpy().astype(np.uint64)
+    weights = np.searchsorted(bootstrap._poisson_steps(1.0), bootstrap._uniform(key, n), side="right")
+    pairs = [(x, y) for _, x, y, _, _ in rows]
+    slopes, f1s = [], []
+    for r in range(n):
+        drawn = [p for p, w in zip(pairs, weights[:, r]) for _ in range(w) if None not in p]
+        slopes.append(np.polyfit(*zip(*drawn), 1)[0])
+        cells = collections.Counter((t, p) for (_, _, _, t, p), w in zip(rows, weights[:, r]) for _ in range(w))
+        f1s.append(2 * cells[True, True] / (2 * cells[True, True] + cells[True, False] + cells[False, True]))
+    moments = bootstrap.regression_moments(F.col("x"), F.col("y")) | bootstrap.confusion_moments(F.col("t"), F.col("p"))
+    stats = {"slope": bootstrap.slope(), "f1": bootstrap.f1(), "never": bootstrap.slope() / F.lit(None)}
+    got = {r.statistic: r for r in bootstrap.bootstrap_statistics_ci(df, ["id"], moments, stats, n=n).collect()}
+    assert set(got) == {"slope", "f1"}
+    for name, values in (("slope", slopes), ("f1", f1s)):
+        ends = np.percentile(values, [2.5, 97.5])
+        assert np.allclose([got[name].low, got[name].high], ends) and got[name].n_replicates == n
+    assert bootstrap.bootstrap_statistics_ci(df.limit(0), ["id"], moments, stats, n=n).count() == 0
