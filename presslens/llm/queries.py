@@ -80,8 +80,7 @@ def op2(spark: SparkSession, d: str) -> DataFrame:
 
 @query("op6_language")
 def op6(spark: SparkSession, d: str) -> DataFrame:
-    out = language.identified(table(spark, d, "documents").select("doc_id", "text", "lang"))
-    return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+    return language.identified(table(spark, d, "documents"), keep=["doc_id"])
 
 
 @query("op5_secrets")
