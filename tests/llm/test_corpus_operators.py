@@ -2,8 +2,10 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -426,6 +428,61 @@ def test_secrets_behind_any_name_and_in_any_url():
         assert not secrets.guessed_spans(text, 10.0)
 
 
+class DrawnNodes(personal_data._Nodes):
+    """Nodes of drawn documents, each with potentials of its own instead of a token's shape."""
+
+    def __init__(self, own, chain, hubs=()):
+        super().__init__()
+        self.own, self.chain = own, list(chain)
+        self.doc, self.held = [0] * len(own), [-1] * len(own)
+        for hub, members in enumerate(hubs):
+            self.hub += [(m, hub) for m in members]
+            self.hub_doc.append(0)
+
+    def matrix(self):
+        return self.own
+
+
+def enumerated(own, edges):
+    """Marginals by the sum over all labellings."""
+    n, k = own.shape
+    out = np.zeros((n, k))
+    for labels in itertools.product(range(k), repeat=n):
+        score = sum(own[i, c] for i, c in enumerate(labels)) + sum(p[labels[a], labels[b]] for a, b, p in edges)
+        for i, c in enumerate(labels):
+            out[i, c] += np.exp(score)
+    return out / out.sum(axis=1, keepdims=True)
+
+
+def test_beliefs_equal_enumeration_on_trees_and_loops():
+    rng = np.random.default_rng(3)
+    k = len(personal_data.LABELS)
+    for scale, hubs, tolerance in ((1.0, [], 1e-3), (1.0, [(0, 2)], None), (0.3, [(0, 2)], 0.02), (1.0, [(1, 3)], None)):
+        own = rng.normal(0, 1, (4, k))
+        chain, skip = rng.normal(0, scale, (k, k)), rng.normal(0, scale, (k, k))
+        skip = (skip + skip.T) / 2
+        links = [(0, 1), (1, 2), (2, 3)] if tolerance else [(0, 1), (2, 3)]  # with two hub members: still a tree
+        nodes = DrawnNodes(own, links, hubs)
+        factors = {"node": np.eye(k), "chain": chain, "skip": skip}
+        everyone = np.concatenate((own, np.zeros((len(hubs), k))))
+        edges = [(a, b, chain) for a, b in links] + [(a, 4 + h, skip) for a, h in nodes.hub]
+        want = enumerated(everyone, edges)[:4]
+        assert np.abs(personal_data.beliefs(factors, nodes) - want).max() < (tolerance or 1e-3)
+
+
+def test_swinging_documents_end_soon():
+    rng = np.random.default_rng(0)
+    k = len(personal_data.LABELS)
+    for _ in range(12):
+        own = rng.normal(0, 3, (60, k))
+        members = [rng.choice(60, 6, replace=False) for _ in range(12)]
+        chain, skip = rng.uniform(-3, 3, (k, k)), rng.uniform(-3, 3, (k, k))
+        nodes = DrawnNodes(own, [(i, i + 1) for i in range(59)], members)
+        begun = time.process_time()
+        got = personal_data.beliefs({"node": np.eye(k), "chain": chain, "skip": (skip + skip.T) / 2}, nodes)
+        assert time.process_time() - begun < 2 and np.allclose(got.sum(axis=1), 1)
+
+
 def test_personal_data_equals_plain_patterns(spark, odd, none):
     texts = [
         "a@b.c_d@e.f x@y", "1.2.3.4.5 300.1.2.3 255.255.255.255 01.002.3.4", "4539 1488 0343 6467 4539148803436467 1",
