@@ -2,8 +2,14 @@
 
 The guess cost of a value is the least sum over its segmentations of the segments' costs,
 each the decimal logarithm of the guesses for it: common words (capitalised or with digits for
-letters), dates and years, repeats, sequences, keyboard walks, and single characters by brute
-force. A dynamic program over the positions finds it. Values that follow a name with a
+letters), dates and years, repeats of a unit, copies of an earlier part, sequences, keyboard walks,
+and single characters by brute force. A dynamic program over the positions finds it.
+
+Words cost by rank. Fixed common words of passwords have their place in the list; all others
+are ranked by the number of documents that hold them outside credential context, over all
+documents, and the `max_words` most frequent ones of at least `MIN_DOCS` documents are broadcast
+(a word is at most `LONGEST_PATTERN` letters, so the ranking has a fixed size bound). A secret
+that repeats in many documents is thus no word. Values that follow a name with a
 credential word in it and `:` or `=`, a bearer marker, or stand as the password of a URL become
 `guess` spans if their cost reaches `least_cost`, unless inside another; the spans of the fixed
 patterns stay as they are. The search takes time in proportion to the text.
@@ -17,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,7 +33,11 @@ from presslens.llm import textkit
 
 LEAST_COST = 10.0
 SEGMENT_COST = 0.3  # for telling where segments meet
-LONGEST_PATTERN = 32  # longest word, date, walk or repeat looked for; longer ones are several
+LONGEST_PATTERN = 32  # longest word, date, walk or short repeat; longer ones are several, long repeats are copies
+SEED = LONGEST_PATTERN // 2 + 1  # characters that a copy of an earlier part begins with
+MAX_WORDS = 100_000  # ranked words
+MIN_DOCS = 3
+HELD_WORDS = 1 << 18  # distinct words that a task holds before it writes their counts
 KINDS = ("assign", "access", "hex", "guess")
 
 # The patterns of the base kinds.
@@ -45,6 +56,7 @@ WORD = re.compile(
     r"""|(?:pass|auth)(?:(?![a-z])|(?-i:(?=[A-Z])))""",  # not passenger, author
     re.ASCII | re.IGNORECASE,
 )
+LETTERS = re.compile(r"[^\W\d_]+")
 VALUE = re.compile(r"""[^\s"'<>,;]{6,}""", re.ASCII)
 MARKED = (
     re.compile(r"\bbearer\x20++([A-Za-z0-9+/_.=-]{6,})", re.ASCII | re.IGNORECASE),
@@ -86,16 +98,19 @@ def _near(a: str, b: str) -> bool:
     return abs(ya - yb) <= 1 and abs(xa - xb) <= 1
 
 
-def _segments(value: str, at: int, again: list[list[int]]) -> Iterator[tuple[int, float]]:
+def _segments(
+    value: str, at: int, again: list[list[int]], copied: list[int], ranks: dict[str, int]
+) -> Iterator[tuple[int, float]]:
     """(end, cost) of the patterns that begin at a position."""
     rest = value[at : at + LONGEST_PATTERN]
     low = rest.lower()
     plain = low.translate(SUBSTITUTES)
     for n in range(3, len(rest) + 1):
-        rank = RANK.get(low[:n]) or RANK.get(plain[:n])
-        if rank:
-            changed = (low[:n] not in RANK) + (rest[:n] != low[:n])
-            yield at + n, math.log10(rank + 1) + 0.5 * changed
+        for word, changed in ((low[:n], 0), (plain[:n], 1)):
+            rank = RANK.get(word) or ranks.get(word)
+            if rank:
+                yield at + n, math.log10(rank + 1) + 0.5 * (changed + (rest[:n] != low[:n]))
+                break
     for pattern, cost in ((DATE, math.log10(365 * 200)), (YEAR, math.log10(200))):
         found = pattern.match(value, at)
         if found:
@@ -121,6 +136,26 @@ def _segments(value: str, at: int, again: list[list[int]]) -> Iterator[tuple[int
         times = 1 + again[unit - 1][at] // unit
         if times >= 2 and times * unit >= 3:
             yield at + times * unit, sum(map(_one, value[at : at + unit])) + math.log10(times)
+    if copied[at]:
+        yield at + copied[at], math.log10(at + 1) + math.log10(copied[at])
+
+
+def _copied(value: str) -> list[int]:
+    """For each position how far the value goes on as behind the last place with the same `SEED` characters."""
+    out, seen, source = [0] * len(value), {}, -1
+    for at in range(len(value) - SEED + 1):
+        before, seed = source, value[at : at + SEED]
+        source = seen.get(seed, -1)
+        seen[seed] = at
+        if source < 0:
+            continue
+        n = SEED
+        if at and before >= 0 and source == before + 1:  # one on from the match of the last position
+            n = max(n, out[at - 1] - 1)
+        while at + n < len(value) and value[source + n] == value[at + n]:
+            n += 1
+        out[at] = n
+    return out
 
 
 def _again(value: str) -> list[list[int]]:
@@ -134,17 +169,17 @@ def _again(value: str) -> list[list[int]]:
     return out
 
 
-def guess_cost(value: str) -> float:
-    """Decimal logarithm of the guesses for a value, by its cheapest segmentation."""
+def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
+    """Decimal logarithm of the guesses for a value, by its cheapest segmentation; ranks of further words."""
     best = [0.0] + [math.inf] * len(value)  # a pattern ends here
     force = [math.inf] * (len(value) + 1)  # a brute-force span ends here
-    again = _again(value)
+    again, copied = _again(value), _copied(value)
     for at in range(len(value)):
         here = min(best[at], force[at])
         start = here + (SEGMENT_COST if at else 0.0)
         one = _one(value[at])
         force[at + 1] = min(force[at] + one, (best[at] + (SEGMENT_COST if at else 0.0)) + one)
-        for end, cost in _segments(value, at, again):
+        for end, cost in _segments(value, at, again, copied, ranks or {}):
             best[end] = min(best[end], start + cost)
     return min(best[-1], force[-1])
 
@@ -174,14 +209,14 @@ def _in_context(text: str) -> Iterator[tuple[int, int]]:
             yield m.span(1)
 
 
-def guessed_spans(text: str, least_cost: float) -> list[tuple[str, int, int]]:
+def guessed_spans(text: str, least_cost: float, ranks: dict[str, int] | None = None) -> list[tuple[str, int, int]]:
     """Values in credential context that cost at least so many guesses, without those inside another."""
     low = text.lower()
     if not any(w in low for w in CREDENTIAL):
         return []
     found, done = [], -1
     for start, end in sorted(_in_context(text), key=lambda s: (s[0], -s[1])):
-        if end > done and guess_cost(text[start:end]) >= least_cost:
+        if end > done and guess_cost(text[start:end], ranks) >= least_cost:
             found.append(("guess", start, end))
             done = end
     return found
@@ -196,16 +231,55 @@ def written(spans: list[tuple[str, int, int]], kinds: tuple[str, ...]) -> str:
 FOUND = "doc_id long, n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string"
 
 
-def _scanner(least_cost: float):
+def plain_words(text: str) -> set[str]:
+    """Distinct lower-case words of a text, without the values in credential context."""
+    low = text.lower()
+    if any(w in low for w in CREDENTIAL):
+        parts, done = [], 0
+        for start, end in sorted(_in_context(text)):
+            parts.append(text[done : max(done, start)])
+            done = max(done, end)
+        low = " ".join([*parts, text[done:]]).lower()
+    return {w for w in LETTERS.findall(low) if 3 <= len(w) <= LONGEST_PATTERN}
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, documents) per task, a word again where a task meets very many distinct ones."""
+
+    def written() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"]
+        )
+
+    held: Counter[str] = Counter()
+    for batch in batches:
+        for _, texts in textkit.slices(batch, "text"):
+            for raw in texts:
+                held.update(plain_words(raw.decode("utf-8", "replace")))
+            if len(held) > HELD_WORDS:
+                yield written()
+                held.clear()
+    yield written()
+
+
+def word_ranks(docs: DataFrame, max_words: int = MAX_WORDS) -> dict[str, int]:
+    """Rank of the words in most documents, equal ones in the order of their letters."""
+    counts = docs.select("text").mapInArrow(_count_words, "word string, n long")
+    counts = counts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_DOCS)
+    first = counts.orderBy(F.desc("n"), "word").limit(max_words).collect()  # at most max_words
+    return {r.word: i + 1 for i, r in enumerate(first)}
+
+
+def _scanner(least_cost: float, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in FOUND.split(", ")]
+        names, ranks = [c.split()[0] for c in FOUND.split(", ")], shared.value
         for batch in batches:
             for part, texts in textkit.slices(batch, "text"):
                 rows = []
                 for raw in texts:
                     text = raw.decode("utf-8", "replace")
                     base = base_spans(text)
-                    more = guessed_spans(text, least_cost)
+                    more = guessed_spans(text, least_cost, ranks)
                     counts = [sum(s[0] == k for s in base) for k in KINDS[:3]]
                     digest = hashlib.sha256(written(base, KINDS).encode()).hexdigest()
                     rows.append((*counts, len(more), digest, written(base + more, KINDS)))
@@ -216,7 +290,8 @@ def _scanner(least_cost: float):
     return run
 
 
-def secrets(docs: DataFrame, least_cost: float = LEAST_COST) -> DataFrame:
+def secrets(docs: DataFrame, least_cost: float = LEAST_COST, max_words: int = MAX_WORDS) -> DataFrame:
     """Counts, digest of the base spans and all spans of every document."""
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return thin.mapInArrow(_scanner(least_cost), FOUND)
+    shared = docs.sparkSession.sparkContext.broadcast(word_ranks(thin, max_words))
+    return thin.mapInArrow(_scanner(least_cost, shared), FOUND)

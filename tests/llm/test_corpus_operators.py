@@ -406,6 +406,58 @@ def test_secrets_equal_plain_patterns(spark, odd, none):
     assert secrets.secrets(odd).count() == 11 and secrets.secrets(none).count() == 0
 
 
+def test_ordinary_words_in_credential_context_get_no_span(spark):
+    prose = ("documentation of the management required", "international configuration disabled", "authentication temporarily")
+    texts = [f"{t} number {i}" for i in range(4) for t in prose]
+    texts += [f"password: kqvzxwjrpt note {i}" for i in range(5)]  # a secret in many documents is no word
+    texts += [
+        "password = required", "credentials: disabled", "auth: international", "secret: documentation",
+        "db_password = configuration", "auth_token: Management", "auth = temporarily_disabled", None, "",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_guess for r in secrets.secrets(docs).collect()}
+    assert [got[i] for i in range(12)] == [0] * 12 and [got[i] for i in range(12, 17)] == [1] * 5
+    assert [got[i] for i in range(17, len(texts))] == [0] * 9
+    ranks = secrets.word_ranks(docs)
+    counts = collections.Counter(w for t in texts for w in secrets.plain_words(t or ""))
+    assert set(ranks) == {w for w, n in counts.items() if n >= secrets.MIN_DOCS} and "kqvzxwjrpt" not in ranks
+    assert sorted(ranks, key=ranks.get) == sorted(ranks, key=lambda w: (-counts[w], w))
+    assert secrets.word_ranks(docs, 3) == {w: r for w, r in ranks.items() if r <= 3}
+    assert secrets.word_ranks(docs.limit(0)) == {}
+
+
+def test_guess_cost_equals_all_segmentations():
+    ranks = {"tree": 40, "house": 7, "use": 90}
+
+    def cheapest(value):
+        again, copied = secrets._again(value), secrets._copied(value)
+        ends = [dict() for _ in value]
+        for at in range(len(value)):
+            for end, cost in secrets._segments(value, at, again, copied, ranks):
+                ends[at][end] = min(cost, ends[at].get(end, 99))
+
+        def rest(at, forced):  # forced: a brute-force span ends here
+            if at == len(value):
+                return 0.0
+            meet = secrets.SEGMENT_COST if at else 0.0
+            costs = [meet + cost + rest(end, False) for end, cost in ends[at].items()]
+            return min([*costs, (0.0 if forced else meet) + secrets._one(value[at]) + rest(at + 1, True)])
+
+        return rest(0, False)
+
+    for v in ("house12", "Tr33house", "abcabc9z", "qwertyX", "xk2020q", "aaaabbbb", "9housetree", "zz!use1"):
+        assert secrets.guess_cost(v, ranks) == pytest.approx(cheapest(v))
+
+
+def test_long_repeats_cost_little_more_than_their_unit():
+    rng = random.Random(5)
+    unit = "".join(rng.choices("abcdefghijkmnpqrstuvwxyz23456789", k=40))
+    assert secrets.guess_cost(unit * 3) < secrets.guess_cost(unit) + 6
+    begun = time.process_time()
+    secrets.guess_cost(unit * 500)
+    assert time.process_time() - begun < 10
+
+
 def test_guess_costs_are_ordered():
     cheap = ["password", "Passw0rd", "qwertyuiop", "aaaaaaaaaa", "abcabcabcabc", "20201231", "letmein1999"]
     assert all(secrets.guess_cost(v) < 6 for v in cheap)
