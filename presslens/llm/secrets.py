@@ -7,7 +7,7 @@ and single characters by brute force. A dynamic program over the positions finds
 
 Words cost by rank. Fixed common words of passwords have their place in the list; all others
 are ranked by the number of documents that hold them outside credential context, over all
-documents, and the `max_words` most frequent ones of at least `MIN_DOCS` documents are broadcast
+documents, and the most frequent ones of at least `MIN_DOCS` documents, at most `max_words`, are broadcast
 (a word is at most `LONGEST_PATTERN` letters, so the ranking has a fixed size bound). A secret
 that repeats in many documents is thus no word. Values that follow a name with a
 credential word in it and `:` or `=`, a bearer marker, or stand as the password of a URL become
@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from presslens.llm import textkit
+from presslens.sources import storage
 
 LEAST_COST = 10.0
 SEGMENT_COST = 0.3  # for telling where segments meet
@@ -263,11 +264,25 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def word_ranks(docs: DataFrame, max_words: int = MAX_WORDS) -> dict[str, int]:
-    """Rank of the words in most documents, equal ones in the order of their letters."""
+    """Rank of the words in most documents, equal ones in the order of their letters.
+
+    A histogram of the counts, in at most 4,032 steps of about one percent, tells how far down the
+    ranking goes: through the last step that ends within `max_words`. Only these words leave the tasks.
+    """
     counts = docs.select("text").mapInArrow(_count_words, "word string, n long")
+    step = F.floor(F.log2("n") * 64).cast("int").alias("step")
     counts = counts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_DOCS)
-    first = counts.orderBy(F.desc("n"), "word").limit(max_words).collect()  # at most max_words
-    return {r.word: i + 1 for i, r in enumerate(first)}
+    counts = storage.write_table(counts.select("word", "n", step), "word-counts")
+    least, taken = None, 0
+    for row in sorted(counts.groupBy("step").count().collect(), reverse=True):
+        taken += row["count"]
+        if taken > max_words:
+            break
+        least = row.step
+    if least is None:
+        return {}
+    first = counts.filter(F.col("step") >= least).collect()
+    return {r.word: i + 1 for i, r in enumerate(sorted(first, key=lambda r: (-r.n, r.word)))}
 
 
 def _scanner(least_cost: float, shared):

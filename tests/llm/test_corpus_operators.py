@@ -422,7 +422,9 @@ def test_ordinary_words_in_credential_context_get_no_span(spark):
     counts = collections.Counter(w for t in texts for w in secrets.plain_words(t or ""))
     assert set(ranks) == {w for w, n in counts.items() if n >= secrets.MIN_DOCS} and "kqvzxwjrpt" not in ranks
     assert sorted(ranks, key=ranks.get) == sorted(ranks, key=lambda w: (-counts[w], w))
-    assert secrets.word_ranks(docs, 3) == {w: r for w, r in ranks.items() if r <= 3}
+    few = secrets.word_ranks(docs, 8)
+    least = min(counts[w] for w in few)
+    assert 0 < len(few) <= 8 and few == {w: r for w, r in ranks.items() if counts[w] >= least}
     assert secrets.word_ranks(docs.limit(0)) == {}
 
 
