@@ -259,6 +259,28 @@ def distinct_counts(
     return df.groupBy(*keys).agg(*(count(F.col(c)).alias(f"n_{c}") for c in columns))
 
 
+def distinct_sketches(df: DataFrame, keys: list[str], columns: list[str], lg_k: int = 12) -> DataFrame:
+    """One sketch of the distinct values of each column per key, to be stored and merged later.
+
+    A sketch takes at most 2 ** lg_k bytes and some more, whatever it has seen; the standard error of its
+    count is about 1.04 / sqrt(2 ** lg_k). Values count by their text; nulls do not count.
+    """
+    sketches = (F.hll_sketch_agg(F.col(c).cast("string"), lg_k).alias(f"sketch_{c}") for c in columns)
+    return df.groupBy(*keys).agg(*sketches)
+
+
+def merge_sketches(sketches: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Stored sketches put together over coarser keys; the result can be stored and merged again."""
+    merged = (F.hll_union_agg(f"sketch_{c}").alias(f"sketch_{c}") for c in columns)
+    return sketches.groupBy(*keys).agg(*merged)
+
+
+def sketched_counts(sketches: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct counts `n_<column>` in place of the sketches."""
+    counts = {f"n_{c}": F.hll_sketch_estimate(f"sketch_{c}") for c in columns}
+    return sketches.withColumns(counts).drop(*(f"sketch_{c}" for c in columns))
+
+
 def usage_totals(
     df: DataFrame, prompt: str, reply: str, prompt_price: float, reply_price: float
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from presslens.operators import aggregates as G, attribution as A, bins as B
 from presslens.plans.queries_joins import MAX_DAYS
 from presslens.plans.registry import query
 from presslens.plans.views import articles, breaches, rater_a, rater_b, table
+from presslens.sources.storage import write_table
 
 LABELS = ["False", "True", "yes"]
 
@@ -405,6 +406,33 @@ def a23(spark, d):
     return G.distinct_counts(articles(spark, d), ["publication"], ["url", "org"])
 
 
+@query(
+    "a23_distinct_sketches",
+    """SELECT publication, count(DISTINCT url) AS n_url, count(DISTINCT org) AS n_org,
+              true AS url_close, true AS org_close FROM articles_v GROUP BY 1""",
+    ("articles_v",),
+)
+def a23_sketches(spark, d):
+    """Daily sketches, stored, merged per publication and held against the exact counts (five standard errors)."""
+    columns = ["url", "org"]
+    rows = articles(spark, d).select("publication", "article_date", *columns)
+    daily = G.distinct_sketches(rows, ["publication", "article_date"], columns)
+    stored = write_table(daily, "distinct-sketches")
+    merged = G.sketched_counts(G.merge_sketches(stored, ["publication"], columns), columns)
+    merged = merged.toDF("merged_publication", *(f"about_{c}" for c in columns))
+    exact = G.distinct_counts(rows, ["publication"], columns)
+    both = exact.join(merged, F.col("publication").eqNullSafe(F.col("merged_publication")))
+    apart = 5 * 1.04 / 2**6
+    return both.select(
+        "publication",
+        *(f"n_{c}" for c in columns),
+        *(
+            (F.abs(F.col(f"about_{c}") - F.col(f"n_{c}")) <= F.greatest(F.lit(1), F.col(f"n_{c}") * apart)).alias(f"{c}_close")
+            for c in columns
+        ),
+    )
+
+
 @query(
     "a23_dashboard",
     """SELECT method, sector, round(avg(records), 4) AS avg_records,

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from presslens.operators import attribution, bootstrap, heavy, joins, quantiles, vectors
+from presslens.operators import aggregates, attribution, bootstrap, heavy, joins, quantiles, vectors
 
 NAN, INF = float("nan"), float("inf")
 
@@ -260,3 +260,18 @@ def test_replicate_statistics_equal_their_definitions(spark):
         ends = np.percentile(values, [2.5, 97.5])
         assert np.allclose([got[name].low, got[name].high], ends) and got[name].n_replicates == n
     assert bootstrap.bootstrap_statistics_ci(df.limit(0), ["id"], moments, stats, n=n).count() == 0
+
+
+def test_sketches_merge_to_the_counts_of_the_whole(spark):
+    """Groups of nulls only, a null key, values in many days, and merging in two steps."""
+    rows = [("a", day, f"u{(day * 37 + i) % 900}", None) for day in range(20) for i in range(100)]
+    rows += [(None, 1, "x", "y"), (None, 2, "x", "z"), ("b", 1, None, None)]
+    df = spark.createDataFrame(rows, "site string, day int, url string, org string")
+    daily = aggregates.distinct_sketches(df, ["site", "day"], ["url", "org"])
+    weekly = aggregates.merge_sketches(daily.withColumn("week", F.floor(F.col("day") / 7)), ["site", "week"], ["url", "org"])
+    merged = aggregates.merge_sketches(weekly, ["site"], ["url", "org"])
+    got = {r.site: (r.n_url, r.n_org) for r in aggregates.sketched_counts(merged, ["url", "org"]).collect()}
+    distinct = len({r[2] for r in rows if r[0] == "a"})
+    assert abs(got["a"][0] - distinct) <= 0.05 * distinct and got["a"][1] == 0
+    assert got[None] == (1, 2) and got["b"] == (0, 0)
+    assert aggregates.sketched_counts(aggregates.merge_sketches(daily.limit(0), ["site"], ["url"]), ["url"]).count() == 0
