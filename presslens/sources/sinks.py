@@ -30,8 +30,13 @@ def write_max_rows(df: DataFrame, path: str, n: int = 500_000) -> None:
 
 
 def write_by_key(df: DataFrame, path: str, key: str, safe: str = "safe_name") -> None:
-    """One folder per key value; characters unsafe in file names become '_'."""
-    df.withColumn(safe, file_safe(F.col(key))).write.partitionBy(safe).parquet(path)
+    """One folder per key value; characters unsafe in file names become '_'.
+
+    Rows are rebalanced by folder first: small keys are one file each, and a frequent key is
+    cut into several tasks, instead of one file per task and key.
+    """
+    named = df.withColumn(safe, file_safe(F.col(key)))
+    named.hint("rebalance", F.col(safe)).write.partitionBy(safe).parquet(path)
 
 
 def append_run_log(

@@ -117,3 +117,15 @@ def test_scratch_lies_under_the_configured_folder(spark):
     if root:
         assert storage_root(spark) == root.rstrip("/")
     assert scratch_path(spark, "x").startswith(storage_root(spark))
+
+
+def test_write_by_key_makes_few_files(spark, tmp_path):
+    keys = F.when(F.col("id") % 3 == 0, "hot/key").when(F.col("id") % 50 == 1, None)
+    df = spark.range(20_000, numPartitions=40).withColumn("name", keys.otherwise(F.concat(F.lit("k"), F.col("id") % 7)))
+    path = str(tmp_path / "by_key")
+    sinks.write_by_key(df, path, "name")
+    folders = [p for p in (tmp_path / "by_key").iterdir() if p.is_dir()]
+    assert len(folders) == 9 and sum(len(list(p.glob("*.parquet"))) for p in folders) <= 18
+    back = spark.read.parquet(path).select("id", "name")
+    assert back.exceptAll(df).count() == 0 and back.count() == 20_000
+    sinks.write_by_key(df.limit(0), path + "-none", "name")
