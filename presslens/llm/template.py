@@ -93,8 +93,12 @@ class _Expression:
 
     def compared(self) -> tuple:
         tree = self.joined()
-        while sign := self.take("==", "!=", "in"):
-            tree = (sign, tree, self.joined())
+        while sign := self.take("==", "!=", "in", "not"):
+            if sign == "not":
+                self.need("name", "in")
+                tree = ("not", ("in", tree, self.joined()))
+            else:
+                tree = (sign, tree, self.joined())
         return tree
 
     def joined(self) -> tuple:
@@ -210,7 +214,10 @@ def fold(tree: tuple) -> tuple:
         if sign == "not":
             return ("constant", not values[0])
         if sign in _BINARY:
-            return ("constant", _BINARY[sign](*values))
+            return ("constant", _combined(sign, *values))
+    if folded[0] in ("and", "or") and folded[1][0] == "constant":
+        decided = bool(folded[1][1]) == (folded[0] == "or")
+        return folded[1] if decided else folded[2]
     return folded
 
 
@@ -225,6 +232,13 @@ _BINARY = {
 }
 
 
+def _combined(sign: str, a, b):
+    try:
+        return _BINARY[sign](a, b)
+    except TypeError as e:
+        raise TemplateError(f"{sign!r} does not fit its values: {e}") from e
+
+
 def _shown(value) -> str:
     return "" if value is None else str(value)
 
@@ -251,7 +265,10 @@ def _value(tree: tuple, filters: Mapping[str, Callable]) -> Callable[[dict], obj
             holder = inner(env)
             if not isinstance(holder, Mapping):
                 raise TemplateError("only mappings have keys")
-            return holder.get(key(env))
+            try:
+                return holder.get(key(env))
+            except TypeError as e:
+                raise TemplateError("a key is a text or a number") from e
 
         return member
     if kind == "not":
@@ -262,8 +279,7 @@ def _value(tree: tuple, filters: Mapping[str, Callable]) -> Callable[[dict], obj
         return lambda env: left(env) and right(env)
     if kind == "or":
         return lambda env: left(env) or right(env)
-    combine = _BINARY[kind]
-    return lambda env: combine(left(env), right(env))
+    return lambda env: _combined(kind, left(env), right(env))
 
 
 Piece = tuple[str, bool]
@@ -272,7 +288,10 @@ Writer = Callable[[dict, bool], Iterator[Piece]]
 
 def _ahead(items: Iterable) -> Iterator[tuple[object, bool]]:
     """Elements with whether they are the last."""
-    items = iter(items)
+    try:
+        items = iter(items)
+    except TypeError as e:
+        raise TemplateError("a loop needs a list") from e
     for item in items:
         for following in items:
             yield item, False
@@ -358,5 +377,8 @@ def _writer(statement: tuple, filters: Mapping[str, Callable]) -> Writer:
 def compile_template(source: str, filters: Mapping[str, Callable] | None = None) -> Callable[[dict], Iterator[Piece]]:
     """Function from data to the pieces (text, learnt) of the rendered template."""
     filters = filters or {}
-    write = _body(parse(source, filters), filters)
+    try:
+        write = _body(parse(source, filters), filters)
+    except RecursionError as e:
+        raise TemplateError("the template is nested too deeply") from e
     return lambda data: write(dict(data), False)

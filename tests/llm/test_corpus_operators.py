@@ -618,10 +618,15 @@ def test_templates():
     assert show("{% set y = 'a' ~ 1 %}{% generation %}{{ y }}{% endgeneration %}!{# c #}") == ("a1!", "a1")
     assert show("{% if a == 'x' and not b %}1{% elif 'k' in m %}2{% else %}3{% endif %}", a="y", b=False, m={"k": 1})[0] == "2"
     assert template.fold(template.parse("{{ 'a' ~ 'b' + 'c' }}", {})[1][1]) == ("constant", "abc")
-    for bad in ("{% for %}", "{% if a %}", "{{ a( }}", "{{ a|none }}", "{% import os %}", "{{ }}"):
+    assert show("{% if 'k' not in m and not 'm' in m %}1{% else %}2{% endif %}", m={"z": 1})[0] == "1"
+    for tree, folded in (("false and x", ("constant", False)), ("1 or x", ("constant", 1)), ("true and x", ("name", "x"))):
+        assert template.fold(template.parse("{{ " + tree + " }}", {})[1][1]) == folded
+    wrong = ("{{ 'a' + 1 }}", "{{ 1 in 2 }}", "{{ a not b }}", "{{ " + "(" * 5000 + "1" + ")" * 5000 + " }}")
+    for bad in ("{% for %}", "{% if a %}", "{{ a( }}", "{{ a|none }}", "{% import os %}", "{{ }}", *wrong):
         with pytest.raises(template.TemplateError):
             template.compile_template(bad)
-    for reach in ("{{ a.__class__ }}", "{{ missing }}"):
+    types = ("{{ a + 1 }}", "{{ 1 in 2 ~ a + 3 }}", "{% for x in 3 %}{{ x }}{% endfor %}")
+    for reach in ("{{ a.__class__ }}", "{{ missing }}", *types):
         with pytest.raises(template.TemplateError):
             "".join(t for t, _ in template.compile_template(reach)({"a": "text"}))
 
