@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -139,24 +138,26 @@ def extract_article(
     """Adds `article_text` and `error`; the site name selects a rule, in any case.
 
     Rules are a few tuples shipped with the function. A page of an unknown site, or one
-    without the container, keeps a null text and says why.
+    without the container, keeps a null text and says why. Only page and site go through
+    Python; other columns, of any type, stay in the JVM. Columns named like the two new
+    ones are replaced.
     """
     known = {name: (container, elements, name in multi) for name, container, elements in rules}
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts, errors = [], []
-            for page, name in zip(batch[html], batch[site]):
-                rule = known.get((name or "").lower())
-                if rule is None:
-                    text, error = None, f"no rule for {name}"
-                else:
-                    container, elements, many = rule
-                    text, found = _read(page, container=container, elements=elements, many=many)
-                    text, error = (text, None) if found else (None, "container not found")
-                texts.append(text)
-                errors.append(error)
-            yield batch.assign(article_text=texts, error=errors)
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInPandas(extract, f"{fields}, article_text string, error string")
+    @F.pandas_udf("article_text string, error string")
+    def extract(pages: pd.Series, sites: pd.Series) -> pd.DataFrame:
+        texts, errors = [], []
+        for page, name in zip(pages, sites):
+            rule = known.get((name or "").lower())
+            if rule is None:
+                text, error = None, f"no rule for {name}"
+            else:
+                container, elements, many = rule
+                text, found = _read(page, container=container, elements=elements, many=many)
+                text, error = (text, None) if found else (None, "container not found")
+            texts.append(text)
+            errors.append(error)
+        return pd.DataFrame({"article_text": texts, "error": errors}, dtype=object)
+
+    read = df.withColumn("_article", extract(F.col(html), F.col(site)))
+    return read.withColumns({c: F.col("_article")[c] for c in ("article_text", "error")}).drop("_article")

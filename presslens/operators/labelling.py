@@ -169,17 +169,17 @@ def score_in_batches(
     words: tuple[str, ...] = BREACH_KEYWORDS,
 ) -> DataFrame:
     """Append a score to every row. A scorer sees one Arrow batch of texts at a time
-    (`spark.sql.execution.arrow.maxRecordsPerBatch` sets its size); without one the
-    keyword test runs natively."""
+    (`spark.sql.execution.arrow.maxRecordsPerBatch` sets its size) and nothing else of the
+    row; without one the keyword test runs natively."""
     if scorer is None:
         return df.withColumn(out, contains_keyword(F.col(text), words))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(out_type)
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield batch.assign(**{out: scorer(batch[text])})
+            yield scorer(batch)
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInPandas(run, f"{fields}, `{out}` {out_type}")
+    return df.withColumn(out, score(F.col(text)))
 
 
 def attach_predictions(

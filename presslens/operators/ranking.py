@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from presslens.sources.storage import cut_lineage
 
+MOST_SKIPPED = 100_000  # rows that a task keeps to find the last skipped one
+
 
 def top_n_by_count(df: DataFrame, col: str, n: int, ascending: bool = False) -> DataFrame:
     """Most (or least) frequent non-null values, ties by name."""
@@ -96,8 +98,33 @@ def assign_shards(df: DataFrame, order: list[Column | str], k: int, out: str = "
 
 
 def skip_data_rows(df: DataFrame, order: list[Column | str], n: int) -> DataFrame:
-    """Drop the first n rows of the given order."""
-    return with_row_index(df, order, "_row").filter(F.col("_row") >= n).drop("_row")
+    """Drop the first n rows of the given order.
+
+    With column names as order (ascending, nulls first) and a moderate n the nth row is found by
+    a top-n, which keeps n keys per task, and the table is filtered by it: nothing is sorted
+    or moved. Only rows that tie with the nth one are numbered, where some of them stay.
+    Other orders number all rows.
+    """
+    if n <= 0:
+        return df
+    if n > MOST_SKIPPED or not all(isinstance(c, str) for c in order):
+        return with_row_index(df, order, "_row").filter(F.col("_row") >= n).drop("_row")
+    keys = [f"_o{i}" for i in range(len(order))]
+    thin = df.select(*(F.col(c).alias(k) for c, k in zip(order, keys)))
+    last = thin.orderBy(*keys).offset(n - 1).limit(1).select(F.struct(*keys).alias("_last"))
+    last = cut_lineage(last)
+    border = last.scalar()
+    before = F.count_if(F.struct(*keys) < border)
+    tied = F.count_if(F.struct(*keys) == border)
+    before, tied = thin.agg(before, tied).first()
+    if tied == 0:  # fewer than n rows
+        return df.limit(0)
+    own = F.struct(*(F.col(c).alias(k) for c, k in zip(order, keys)))
+    later = df.filter(own > border)
+    if before + tied == n:
+        return later
+    ties = with_row_index(df.filter(own == border), order, "_row")
+    return later.unionByName(ties.filter(F.col("_row") >= n - before).drop("_row"))
 
 
 def sort_by_key(df: DataFrame, key: Column, *tiebreak: str) -> DataFrame:

@@ -156,6 +156,29 @@ def j08(spark, d):
     return pairs.select("breach_id", "article_id")
 
 
+# One event an organisation in every second year, so that the smallest gap is a long one.
+@query(
+    "j08_attribute_in_learned_window",
+    """WITH firsts AS (SELECT org, min(breach_date) AS breach_date FROM breaches_v
+                       WHERE year(breach_date) % 2 = 0 GROUP BY org, year(breach_date)),
+            gaps AS (SELECT date_diff('day', lag(breach_date) OVER (PARTITION BY org ORDER BY breach_date),
+                                      breach_date) AS gap FROM firsts)
+       SELECT e.org, breach_date, article_id FROM firsts e JOIN articles_v a ON e.org = a.org
+       AND article_date > breach_date
+       AND date_diff('day', breach_date, article_date) < (SELECT min(gap) - 1 FROM gaps)""",
+    ("breaches_v", "articles_v"),
+)
+def j08_learned(spark, d):
+    """The window is the smallest gap between two events of an organisation less a day."""
+    year = F.year("breach_date")
+    events = breaches(spark, d).filter(year % 2 == 0).groupBy("org", year).agg(F.min("breach_date").alias("breach_date"))
+    a = articles(spark, d).select("article_id", F.col("org").alias("article_org"), "article_date")
+    pairs = A.attribute_in_window(
+        events.select("org", "breach_date"), a, [("org", "article_org")], "breach_date", "article_date"
+    )
+    return pairs.select("org", "breach_date", "article_id")
+
+
 J09_SQL = f"""SELECT breach_id, article_id FROM breaches_v b LEFT JOIN articles_v a ON b.org = a.org
         AND breach_date < article_date AND date_diff('day', breach_date, article_date) < {MAX_DAYS}"""
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from presslens.operators import components as K, vectors as V
 from presslens.plans.registry import query
-from presslens.plans.views import headlines, table
+from presslens.plans.views import companies, headlines, table
 
 
 def _vectors(spark, d):
@@ -125,6 +125,29 @@ def v07_within(spark, d):
     return K.cluster(events, "event_id", K.edges_within(events, "event_id", "value", 0.5, ["user_id"]))
 
 
+@query(
+    "v07_cluster_by_rule",
+    """WITH RECURSIVE e AS (
+         SELECT a.company_id AS src, b.company_id AS dst FROM companies_v a JOIN companies_v b
+           ON a.country = b.country AND a.industry = b.industry
+          AND abs(a.size - b.size) * 50 <= greatest(abs(a.size), abs(b.size))),
+       reach AS (SELECT company_id AS node, company_id AS seen FROM companies_v
+                 UNION SELECT reach.node, e.dst FROM reach JOIN e ON e.src = reach.seen)
+       SELECT node AS company_id, min(seen) AS component FROM reach GROUP BY node""",
+    ("companies_v",),
+)
+def v07_rule(spark, d):
+    """Companies of a country and industry whose sizes differ by at most 2 % of the larger one."""
+    known = companies(spark, d).select("company_id", "country", "industry", "size")
+
+    def close(a, b):
+        larger = F.greatest(F.abs(a("size")), F.abs(b("size")))
+        return F.abs(a("size") - b("size")) * 50 <= larger
+
+    edges = K.edges_by_predicate(known, "company_id", close, ["country", "industry"])
+    return K.cluster(known, "company_id", edges)
+
+
 @query("v07_cluster_fuzzy")
 def v07_fuzzy(spark, d):
     """Pages whose headlines are at least 90 alike, chained."""

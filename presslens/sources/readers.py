@@ -67,13 +67,18 @@ def read_folders_by_name(
 
 
 def read_csv_skipping(
-    spark: SparkSession, path: str, schema: str, n: int, encoding: str = "UTF-8"
+    spark: SparkSession, path: str, schema: str, n: int, encoding: str = "UTF-8", multi_line: bool = False
 ) -> DataFrame:
-    """Keep the header, drop the first n data rows of a file."""
-    df = read_csv_typed(spark, path, schema, encoding, multi_line=True)
-    # One file is read front to back by one split, so this id follows the file.
-    placed = df.withColumn("_position", F.monotonically_increasing_id())
-    return skip_data_rows(placed, ["_position"], n).drop("_position")
+    """Keep the header, drop the first n data rows of a file.
+
+    The file is read in splits; quoted line breaks need multi_line, with which one task reads it.
+    """
+    df = read_csv_typed(spark, path, schema, encoding, multi_line=multi_line)
+    # Splits follow each other by their first byte, and within a split ids follow the rows.
+    placed = df.withColumns(
+        {"_split": F.col("_metadata.file_block_start"), "_position": F.monotonically_increasing_id()}
+    )
+    return skip_data_rows(placed, ["_split", "_position"], n).drop("_split", "_position")
 
 
 def read_jsonl_glob(spark: SparkSession, folder: str, schema: str, kind: str = "all") -> DataFrame:

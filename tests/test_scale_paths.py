@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from presslens.operators import aggregates, attribution, bootstrap, heavy, joins, quantiles, vectors
+from presslens.operators import aggregates, attribution, bootstrap, classifier, components, heavy, joins, quantiles, ranking, vectors
 
 NAN, INF = float("nan"), float("inf")
 
@@ -275,3 +275,54 @@ def test_sketches_merge_to_the_counts_of_the_whole(spark):
     assert abs(got["a"][0] - distinct) <= 0.05 * distinct and got["a"][1] == 0
     assert got[None] == (1, 2) and got["b"] == (0, 0)
     assert aggregates.sketched_counts(aggregates.merge_sketches(daily.limit(0), ["site"], ["url"]), ["url"]).count() == 0
+
+
+def test_skipping_rows_equals_sorting_them(spark):
+    draw = random.Random(3)
+    rows = [(draw.choice([None, 1, 2, 3]), draw.choice(["a", "b", None]), i) for i in range(200)]
+    df = spark.createDataFrame(rows, "a int, b string, i int").repartition(5)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    for n in (0, 1, 17, 60, 123, 199, 200, 500):
+        got = collections.Counter((r.a, r.b) for r in ranking.skip_data_rows(df, ["a", "b"], n).collect())
+        assert got == collections.Counter((a, b) for a, b, _ in order[n:]), n
+        total = ranking.skip_data_rows(df, ["b", "i"], n)
+        known = sorted(rows, key=lambda r: (r[1] is not None, r[1] or "", r[2]))[n:]
+        assert sorted(r.i for r in total.collect()) == sorted(r[2] for r in known)
+    reverse = ranking.skip_data_rows(df, [F.desc("i")], 150)
+    assert sorted(r.i for r in reverse.collect()) == list(range(50))
+    odd = spark.createDataFrame([(NAN,), (1.0,), (-0.0,), (0.0,), (INF,)], "x double")
+    assert sorted(str(r.x) for r in ranking.skip_data_rows(odd, ["x"], 3).collect()) == ["inf", "nan"]
+    assert ranking.skip_data_rows(odd.limit(0), ["x"], 3).count() == 0
+
+
+def test_components_by_any_rule_equal_plain_ones(spark):
+    draw = random.Random(4)
+    rows = [(i, draw.choice("pq"), draw.randrange(500)) for i in range(150)] + [(900, None, 7), (901, None, 8)]
+    df = spark.createDataFrame(rows, "id int, g string, x int").repartition(4)
+    rule = lambda a, b: (F.abs(a("x") - b("x")) <= 3) | (a("x") == 2 * b("x"))
+    edges = components.edges_by_predicate(df, "id", rule, ["g"], chunk=16)
+    near = collections.defaultdict(set)
+    for i, g, x in rows:
+        for j, h, y in rows:
+            if g == h and i < j and (abs(x - y) <= 3 or x == 2 * y):
+                near[i].add(j)
+                near[j].add(i)
+    assert {(r.src, r.dst) for r in edges.collect()} == {(i, j) for i in near for j in near[i] if i < j}
+    wanted = {}
+    for i, _, _ in sorted(rows):
+        todo = [i] if i not in wanted else []
+        while todo:
+            at = todo.pop()
+            if at not in wanted:
+                wanted[at] = i
+                todo += near[at]
+    assert {r.id: r.component for r in components.cluster(df, "id", edges).collect()} == wanted
+
+
+def test_a_classifier_on_words_takes_null_texts_and_labels(spark):
+    rows = [("data leak", True, None if i % 5 == 0 else True) if i % 2 else ("green tea", False, False) for i in range(60)]
+    df = spark.createDataFrame([*rows, (None, True, True)], "text string, breach boolean, other boolean")
+    model = classifier.train_text_classifier(df, ["breach", "other"], text="text", max_iter=10)
+    got = model.predict(df)
+    assert got.columns == ["text", "breach", "other", "breach_pred", "other_pred"] and got.count() == 61
+    assert all(r.breach_pred == r.breach == r.other_pred for r in got.filter("text is not null").collect())

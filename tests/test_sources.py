@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from presslens.operators import html
+from presslens.operators import html, labelling
 from presslens.operators.aggregates import usage_totals
 from presslens.sources import readers, sinks, vector_table
 from presslens.sources.storage import scratch_path, storage_root
@@ -129,3 +129,51 @@ def test_write_by_key_makes_few_files(spark, tmp_path):
     back = spark.read.parquet(path).select("id", "name")
     assert back.exceptAll(df).count() == 0 and back.count() == 20_000
     sinks.write_by_key(df.limit(0), path + "-none", "name")
+
+
+def test_skipped_rows_of_a_file_read_in_splits(spark, tmp_path):
+    path = tmp_path / "long.csv"
+    path.write_text("id,pad\n" + "".join(f"{i},{'x' * 40}\n" for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        for n in (0, 1, 5_000, 19_999, 20_000, 30_000):
+            got = readers.read_csv_skipping(spark, str(path), "id long, pad string", n)
+            assert got.columns == ["id", "pad"] and (n > 20_000 or got.rdd.getNumPartitions() > 1 or n == 20_000)
+            assert sorted(r.id for r in got.collect()) == list(range(n, 20_000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_quoted_line_breaks_are_skipped_as_rows(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('id,note\n1,"two\nlines"\n2,x\n3,y\n')
+    got = readers.read_csv_skipping(spark, str(path), "id long, note string", 1, multi_line=True)
+    assert [(r.id, r.note) for r in got.collect()] == [(2, "x"), (3, "y")]
+
+
+def test_newest_vectors_with_ties_and_nulls(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "id string, document string, embedding array<double>"
+    vector_table.upsert(spark.createDataFrame([("a", "x", [1.0]), (None, "n", None), ("c", "c", [4.0])], schema), path, 1)
+    vector_table.upsert(spark.createDataFrame([("a", "z", [3.0]), ("a", "y", [5.0]), (None, "m", [2.0])], schema), path, 2)
+    vector_table.upsert(spark.createDataFrame([("a", "y", [5.0])], schema), path, 2)
+    got = sorted(map(tuple, vector_table.scan(spark, path).collect()), key=str)
+    assert got == [("a", "y", [5.0], 2), ("c", "c", [4.0], 1), (None, "m", [2.0], 2)]
+    plan = vector_table.scan(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_extraction_and_scoring_keep_columns_of_any_type(spark):
+    df = spark.createDataFrame([("BBC", "<html><p data-component='text-block'>t</p></html>"), (None, None)], "site string, page string")
+    df = df.withColumn("extra", F.create_map(F.lit("k"), F.lit(1)))
+    got = html.extract_article(df, "page", "site").collect()
+    assert [(r.article_text, r.error, r.extra) for r in got] == [("t", None, {"k": 1}), (None, "no rule for None", {"k": 1})]
+    again = html.extract_article(html.extract_article(df, "page", "site"), "page", "site")
+    assert again.columns == ["site", "page", "extra", "article_text", "error"]
+    scored = labelling.score_in_batches(df, "page", lambda texts: texts.str.len(), "n", "long")
+    assert [(r.n, r.extra) for r in scored.collect()] == [(49, {"k": 1}), (None, {"k": 1})]
+    plan = scored.select("n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    plan = html.extract_article(df, "page", "site")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
