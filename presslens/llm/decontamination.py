@@ -3,9 +3,9 @@
 Words are runs of letters, digits and underscores in lower case. Seeds are the runs of
 `min_tile` words of an item (all words of a shorter one), so every tile consists of seeds that
 the document holds, and the words of such seeds bound what tiles can cover. A document and a
-benchmark item whose bound reaches `coverage` are tiled: the longest common run of words not yet marked is found by running Karp-Rabin hashes over both,
-every non-overlapping match of that length is marked, and this goes on down to `min_tile`
-words. Tiles may lie in any order, so a passage with its parts exchanged is covered as well.
+benchmark item whose bound reaches `coverage` are tiled: the longest common run of words not yet
+marked is found by running Karp-Rabin hashes over both, every non-overlapping match of that
+length is marked, and this goes on down to `min_tile` words. Tiles may lie in any order, so a passage with its parts exchanged is covered as well.
 The pair counts if the marked share of the item reaches `coverage`.
 
 Documents never shuffle: the benchmark goes to them, in blocks of at most `block_bytes` of
@@ -18,15 +18,17 @@ by `tilings` and kept by `without_leaks`. Empty tables give empty results.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType
 
 from presslens.llm import textkit
+from presslens.sources.storage import write_table
 
 MIN_TILE, COVERAGE = 3, 0.7
 BLOCK_BYTES = 16 << 20
@@ -75,13 +77,13 @@ def greedy_tiles(item: np.ndarray, doc: np.ndarray, min_tile: int) -> list[int]:
     tiles = []
     longest = min(m, max(e - s for s, e in spans))
 
-    def common(length: int) -> tuple[dict[int, list[int]], list[tuple[int, int]]]:
+    def common(length: int) -> tuple[dict[int, deque[int]], list[tuple[int, int]]]:
         starts, hashes = _windows(tokens, free, length)
         mine = starts + length <= m
         wanted = np.isin(hashes, hashes[mine]) & (starts > m)
         if not wanted.any():
             return {}, []
-        places = defaultdict(list)
+        places = defaultdict(deque)
         for at, h in zip(starts[mine].tolist(), hashes[mine].tolist()):
             places[h].append(at)
         return places, list(zip(starts[wanted].tolist(), hashes[wanted].tolist()))
@@ -102,15 +104,18 @@ def greedy_tiles(item: np.ndarray, doc: np.ndarray, min_tile: int) -> list[int]:
         for at, h in hits:
             if not free[at : at + longest].all():
                 continue
-            for start in places[h]:
-                same = free[start : start + longest].all() and np.array_equal(
-                    tokens[start : start + longest], tokens[at : at + longest]
-                )
-                if same:
+            queue, others = places[h], []
+            while queue:
+                start = queue.popleft()
+                if not free[start : start + longest].all():
+                    continue  # marked words stay marked, so this place is done with
+                if np.array_equal(tokens[start : start + longest], tokens[at : at + longest]):
                     free[at : at + longest] = free[start : start + longest] = False
                     tiles.append(longest)
                     marked = True
                     break
+                others.append(start)  # another run of words with the same hash
+            queue.extendleft(reversed(others))
         if not marked:  # only hash collisions at this length
             longest -= 1
     return tiles
@@ -186,15 +191,21 @@ def matches(
             yield doc, i, len(item), tiles
 
 
-def _blocks(benchmark: DataFrame, min_tile: int, block_bytes: int):
-    """Broadcast indexes of the benchmark, one bounded block after the other."""
+def _blocks(benchmark: DataFrame, min_tile: int, block_bytes: int) -> Iterator[tuple[Broadcast, bool]]:
+    """Broadcast indexes of the benchmark, one bounded block after the other, and whether it is the last."""
     items = benchmark.select(F.col("item_id"), F.col("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    number = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    copy = F.lit(1)
+    if blocks > 1:  # equal rows are dealt over the blocks as well
+        copy = F.row_number().over(Window.partitionBy("item_id", "text").orderBy("item_id"))
+    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text", copy), F.lit(blocks)))
+    if blocks > 1:
+        items = write_table(items, "items")
     for block in range(blocks):
-        rows = [tuple(r) for r in items.filter(number == block).collect()]
-        yield benchmark.sparkSession.sparkContext.broadcast(benchmark_index(rows, min_tile))
+        rows = [tuple(r) for r in items.filter(F.col("block") == block).select("item_id", "text").collect()]
+        index = benchmark_index(rows, min_tile)
+        yield benchmark.sparkSession.sparkContext.broadcast(index), block == blocks - 1
 
 
 TILED = (
@@ -231,7 +242,7 @@ def tilings(
     """One row per document and benchmark item that it contains."""
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
-    for shared in _blocks(benchmark, min_tile, block_bytes):
+    for shared, _ in _blocks(benchmark, min_tile, block_bytes):
         found = thin.mapInArrow(_tiler(shared, min_tile, coverage), TILED)
         out = found if out is None else out.unionByName(found)
     return out
@@ -259,7 +270,12 @@ def without_leaks(
     coverage: float = COVERAGE,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Documents that contain no benchmark item, with all their columns."""
-    for shared in _blocks(benchmark, min_tile, block_bytes):
+    """Documents that contain no benchmark item, with all their columns.
+
+    With several blocks what each leaves is written, so a worker holds one block at a time.
+    """
+    for shared, last in _blocks(benchmark, min_tile, block_bytes):
         docs = docs.filter(~_leak_test(shared, min_tile, coverage)("text"))
+        if not last:
+            docs = write_table(docs, "without-block")
     return docs

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType
 
 from presslens.llm import textkit
+from presslens.llm.rows import row_hash, unused
 from presslens.sources.storage import write_table
 
 PROBES = 4
@@ -168,21 +169,19 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group of equal texts: largest doc_id, then by a hash of the whole row."""
-    marked = docs.withColumn("_sha", normalised_sha256(text_col))
-    row = F.xxhash64(*docs.columns)
-    thin = write_table(marked.select("_sha", F.col(id_col).alias("_id"), row.alias("_row")), "hashes")
-    filter_ = RepeatFilter(thin, "_sha", thin.count())
-    again = filter_.possibly_repeated("_sha")
-    winners = (
-        thin.filter(again)
-        .groupBy("_sha")
-        .agg(F.max(F.struct("_id", "_row")).alias("_best"))
-        .select("_sha", F.col("_best._row").alias("_row"))
-    )
-    winners = write_table(winners, "winners")
-    marked = marked.withColumn("_again", again)
-    alone = marked.filter("not _again")
-    rest = marked.filter("_again").withColumn("_row", row).join(winners, ["_sha", "_row"], "left_semi")
-    rest = rest.dropDuplicates(["_sha"])
-    return alone.select(*docs.columns).unionByName(rest.select(*docs.columns))
+    """One row of each group of equal texts: largest doc_id, then by a hash of the whole row.
+
+    Columns of any type and name are kept.
+    """
+    sha, again, row = unused(docs, "_sha", "_again", "_row")
+    marked = docs.withColumn(sha, normalised_sha256(text_col))
+    hashed = row_hash(docs)
+    thin = write_table(marked.select(sha, F.col(id_col).alias("id"), hashed.alias("row")), "hashes")
+    possible = RepeatFilter(thin, sha, thin.count()).possibly_repeated(sha)
+    best = thin.filter(possible).groupBy(sha).agg(F.max(F.struct("id", "row")).alias("best"))
+    winners = write_table(best.select(F.col(sha), F.col("best.row").alias(row)), "winners")
+    marked = marked.withColumn(again, possible)
+    alone = marked.filter(~F.col(again))
+    rest = marked.filter(F.col(again)).withColumn(row, hashed).join(winners, [sha, row], "left_semi")
+    rest = rest.dropDuplicates([sha])
+    return alone.drop(sha, again).unionByName(rest.drop(sha, again, row))

@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from presslens.llm.rows import column, row_hash, unused
 from presslens.operators.ranking import with_row_index
 from presslens.sources.storage import write_table
 
@@ -42,7 +43,7 @@ def n_words(text: Column | str) -> Column:
 
 
 def _row_hash(docs: DataFrame, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), *docs.columns)
+    return row_hash(docs, F.lit(seed))
 
 
 def source_targets(sources: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
@@ -154,7 +155,7 @@ def mixture(
     `taken` is the words that the mix takes from the document, repeats counted.
     """
     sized = docs.select(
-        *(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)),
+        *(column(c).alias(f"_k{i}") for i, c in enumerate(keep)),
         "source",
         n_words("text").alias("size"),
         _row_hash(docs, seed).alias("_order"),
@@ -222,21 +223,23 @@ def mix(docs: DataFrame, seed: int = 42, **options) -> DataFrame:
 
     A row stands for `copies` copies; documents without a copy are gone. Documents of size 0
     stay once. Decisions are made on thin rows and meet the texts once, by a hash of the
-    whole row; equal rows share the copies of that hash out among themselves.
+    whole row; equal rows share the copies of that hash out among themselves. Columns of docs
+    with one of the five names are replaced; all others, of any type and name, are kept.
     """
-    clash = {"size", "source_size", "target", "taken", "copies"} & set(docs.columns)
-    docs = docs.drop(*clash)
-    decided = mixture(docs, [], seed=seed, **options).groupBy("_row").agg(
+    given = {"size", "source_size", "target", "taken", "copies"}
+    docs = docs.drop(*(column(c) for c in docs.columns if c.lower() in given))
+    row, copies, rows = unused(docs, "_row", "_copies", "_rows")
+    decided = mixture(docs, [], seed=seed, **options).groupBy(F.col("_row").alias(row)).agg(
         F.first("size").alias("size"),
         F.first("source_size").alias("source_size"),
         F.first("target").alias("target"),
-        F.sum("copies").alias("_copies"),
-        F.count("*").alias("_rows"),
+        F.sum("copies").alias(copies),
+        F.count("*").alias(rows),
     )
-    decided = write_table(decided.filter("_copies > 0"), "decided")
-    rows = docs.withColumn("_row", _row_hash(docs, seed)).join(decided, "_row")
-    nth = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
-    extra = (nth <= F.col("_copies") % F.col("_rows")).cast("long")
-    rows = rows.withColumn("copies", F.floor(F.col("_copies") / F.col("_rows")) + extra)
-    rows = rows.withColumn("taken", F.col("size") * F.col("copies")).filter("copies > 0")
-    return rows.drop("_row", "_copies", "_rows")
+    decided = write_table(decided.filter(F.col(copies) > 0), "decided")
+    mixed = docs.withColumn(row, _row_hash(docs, seed)).join(decided, row)
+    nth = F.row_number().over(Window.partitionBy(row).orderBy(row))
+    extra = (nth <= F.col(copies) % F.col(rows)).cast("long")
+    mixed = mixed.withColumn("copies", F.floor(F.col(copies) / F.col(rows)) + extra)
+    mixed = mixed.withColumn("taken", F.col("size") * F.col("copies")).filter("copies > 0")
+    return mixed.drop(row, copies, rows)

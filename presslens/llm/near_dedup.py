@@ -37,6 +37,7 @@ from pyspark.sql.types import BinaryType
 
 from presslens.llm import textkit
 from presslens.llm.exact_dedup import RepeatFilter
+from presslens.llm.rows import unused
 from presslens.operators.components import connected_components
 from presslens.sources.storage import write_table
 
@@ -417,6 +418,7 @@ def _packed(keys: pa.Array) -> pa.Array:
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """Documents without those whose component has a smaller doc_id; all columns kept."""
-    gone = near_duplicates(docs, k, percent).filter("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
+    """Documents without those whose component has a smaller doc_id; columns of any name are kept."""
+    (name,) = unused(docs, "_gone")
+    gone = near_duplicates(docs, k, percent).filter("not kept").select(F.col("doc_id").alias(name))
+    return docs.join(gone.distinct(), F.col("doc_id") == F.col(name), "left_anti")

@@ -4,14 +4,14 @@ Tokens are runs of letters and digits, and single other characters; one and two
 row are features, hashed into 2**bits weights; a token followed by itself is one feature whatever
 the token. A document's value of a feature is its count
 over the root of the number of tokens. Training follows the regularised leader (FTRL with
-L1 and L2) document by document over at most `max_rows` labelled documents, chosen by a
-hash of the id; it is the only step in one task, and its input is bounded by that parameter.
-Scoring is a sparse dot product with the broadcast weights (4 * 2**bits bytes).
+L1 and L2) document by document over at most `max_rows` labelled ids, chosen by a hash of the
+id, and `max_texts` distinct texts of each; it is the only step in one task, and its input is
+bounded by these parameters. Scoring is a sparse dot product with the broadcast weights (4 * 2**bits bytes).
 
 Labels other than 0 and 1, labels of no document and documents labelled both ways are left
 out of training. Null and blank texts have no feature and get the score of the bias. Without
-labels every score is 0.5. Rows repeat as they come; other columns are kept. Empty tables
-give empty results.
+labels every score is 0.5. Rows repeat as they come; other columns are kept, but columns of docs
+named held_out, score or predicted are replaced by `scored`. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -21,13 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType
 
 from presslens.llm import textkit
 
 BITS = 18
 MAX_ROWS = 8000
+MAX_TEXTS = 4
 EPOCHS = 2
 THRESHOLD = 0.3
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
@@ -103,6 +104,7 @@ def train(
     label_col: str = "quality",
     bits: int = BITS,
     max_rows: int = MAX_ROWS,
+    max_texts: int = MAX_TEXTS,
     epochs: int = EPOCHS,
     alpha: float = 0.1,
     beta: float = 1.0,
@@ -122,6 +124,9 @@ def train(
     sample = known.select("doc_id", "label").orderBy(order, "doc_id").limit(max_rows)
     rows = texts.join(sample, "doc_id").select(order.alias("_order"), "label", "text")
     encoded = rows.mapInArrow(_encode(bits), "_order long, label int, features binary")
+    # An id may stand for any number of rows; equal ones count once and a task passes on few others.
+    nth = F.row_number().over(Window.partitionBy("_order").orderBy(F.xxhash64("features"), "features"))
+    encoded = encoded.distinct().withColumn("_nth", nth).filter(F.col("_nth") <= max_texts).drop("_nth")
     one = encoded.repartition(1).sortWithinPartitions("_order", "label", "features")
     model = one.mapInArrow(_train(bits, epochs, alpha, beta, l1, l2), "weights binary")
     row = model.first()  # none without any labelled document

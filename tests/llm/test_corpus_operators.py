@@ -669,3 +669,66 @@ def test_word_hashes_follow_bytes_split(monkeypatch):
     assert len(set(zip(hashes.tolist(), split))) == len(set(split)) == len(set(hashes.tolist()))
     several, offsets = textkit.word_hashes([b"a b", b"", b" ", b"c"])
     assert offsets.tolist() == [0, 2, 2, 2, 3]
+
+
+def test_tiles_of_repeated_phrases_cover_as_plain_marking(monkeypatch):
+    """Texts of few phrases: every round marks as much as it can, and twice the words take about twice the time."""
+
+    def repeated(n, seed):
+        rng = np.random.default_rng(seed)
+        phrases = [rng.integers(1, 1 << 40, 5, dtype=np.uint64) for _ in range(3)]
+        own = np.random.default_rng(seed + 1 + n).integers(1, 1 << 60, n, dtype=np.uint64)
+        return phrases, own
+
+    seconds = {}
+    for n in (2_000, 16_000):
+        phrases, own = repeated(n, 5)
+        item = np.concatenate([np.append(phrases[i % 3], own[i]) for i in range(n // 6)])
+        doc = np.concatenate([np.append(phrases[i % 3], own[-1 - i]) for i in range(n // 6)])
+        started = time.perf_counter()
+        tiles = decontamination.greedy_tiles(item, doc, 3)
+        seconds[n] = time.perf_counter() - started
+        assert sorted(set(tiles)) in ([5], [4, 5]) and sum(tiles) >= 5 * (n // 6 - 2)
+    assert seconds[16_000] < 30 * max(seconds[2_000], 0.01)  # 64 times, were it quadratic
+
+
+def test_kept_rows_hold_columns_of_any_type_and_name(spark):
+    rows = [(i, words(40, i // 3), "en", "s", 1) for i in range(30)] + odd_rows()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    names = ["_sha", "_again", "_row", "_rows", "_copies", "_gone", "__row", "a.b", "_k0", "_order", "_bucket"]
+    for name in names:
+        docs = docs.withColumn(name, F.lit("clash"))
+    docs = docs.withColumn("tags", F.create_map(F.lit("k"), F.col("lang")))
+    docs = docs.withColumn("nested", F.array(F.struct(F.create_map(F.lit("k"), F.col("doc_id")).alias("m"))))
+    plain = spark.createDataFrame(rows, SCHEMA)
+    for keep in (exact_dedup.keep_one, near_dedup.keep_one):
+        got = keep(docs)
+        assert got.columns == docs.columns
+        kept = got.collect()
+        assert sorted(map(str, (r.doc_id for r in kept))) == sorted(str(r.doc_id) for r in keep(plain).collect())
+        assert all(r["a.b"] == r["_gone"] == r["_row"] == "clash" and r.tags == {"k": r.lang} for r in kept)
+        assert all(r.nested[0].m == {"k": r.doc_id} for r in kept)
+    mixed = mixing.mix(docs)
+    assert mixed.columns[: len(docs.columns)] == docs.columns
+    total = lambda df: df.groupBy("source").agg(F.sum("taken").alias("t")).collect()
+    assert {r.source: r.t for r in total(mixed)} == {r.source: r.t for r in total(mixing.mix(plain))}
+    again = mixing.mix(mixed.drop("taken").withColumn("TAKEN", F.lit(-1)))
+    assert again.filter("taken < 0").count() == 0
+
+
+def test_one_frequent_id_does_not_fill_the_training_sample(spark):
+    docs = spark.range(400).select("id", (F.col("id") % 2).cast("int").alias("quality"))
+    text = F.when(F.col("quality") == 1, "good fine words").otherwise("bad junk noise")
+    docs = docs.select(F.col("id").alias("doc_id"), F.concat_ws(" ", text, "id").alias("text"), "quality")
+    labels = docs.select("doc_id", "quality")
+    hot = spark.range(3_000).select(
+        F.lit(0).cast("long").alias("doc_id"), F.concat(F.lit("bad hot "), (F.col("id") % 50).cast("string")).alias("text")
+    )
+    docs = docs.select("doc_id", "text")
+    few = quality.train(docs.filter("doc_id = 0"), labels, max_texts=3)
+    seen = hot.withColumn("text", F.concat(F.lit("bad hot "), F.lit("7")))
+    assert np.array_equal(quality.train(seen, labels), quality.train(seen.limit(1), labels)) and few[-1] != 0
+    weights = quality.train(docs.unionByName(hot.repartition(7)), labels)
+    scores = docs.withColumn("p", quality.score(weights, spark, "text")).join(labels, "doc_id")
+    assert scores.filter((F.col("p") >= 0.5) != (F.col("quality") == 1)).count() == 0
+    assert np.array_equal(weights, quality.train(docs.unionByName(hot.repartition(3)), labels))
