@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import NumericType
 
 from presslens.functions.text import normalise_name, sorted_tokens
 from presslens.operators.fuzzy import match_names
@@ -67,15 +70,23 @@ def edges_by_predicate(
     predicate,
     block: list[str],
     chunk: int = 2048,
+    order: str | None = None,
 ) -> DataFrame:
     """Any predicate `f(a, b) -> Column` over pairs that share a block (a candidate key).
 
     Every pair of a block is tested, which grows with its square. A block is cut into chunks
     of about `chunk` rows, and each pair of chunks is a join key of its own, so one large
     block spreads over many tasks.
+
+    `order` names a numeric column for predicates that read no other column, are symmetric and whose
+    links leave nothing out between them: if finite values x <= y <= z and x and z pass, so do x and y,
+    and y and z. Then neighbours in that order decide, and the edges, with the same components as
+    all pairs, grow with the rows.
     """
     if not block:
         raise ValueError("a candidate key is needed")
+    if order is not None:
+        return _edges_in_order(df, node, predicate, block, order)
     sizes = df.groupBy(*block).agg(F.ceil(F.count("*") / chunk).cast("int").alias("_chunks"))
     sizes = sizes.toDF(*(f"_b{i}" for i in range(len(block))), "_chunks")
     known = [F.col(c).eqNullSafe(F.col(f"_b{i}")) for i, c in enumerate(block)]
@@ -93,6 +104,64 @@ def edges_by_predicate(
     return pairs.select(F.col(f"a.{node}").alias("src"), F.col(f"b.{node}").alias("dst"))
 
 
+def _edges_in_order(df: DataFrame, node: str, predicate, block: list[str], order: str) -> DataFrame:
+    """edges_by_predicate through the distinct values of a block.
+
+    Values are dealt over tasks by ranges. A task tests its neighbouring values, and the last value of a
+    block in one task is tested against the first one of the next task that has any. Null, NaN and
+    the infinities keep to no order and are tested against all values. Rows of a value that passes
+    with itself or with another one belong together and are tied to its smallest node.
+    """
+    if not isinstance(df.schema[order].dataType, NumericType):
+        raise ValueError(f"{order} must be a number")
+    names = [f"_b{i}" for i in range(len(block))]
+    rows = df.select(*(F.col(c).alias(b) for c, b in zip(block, names)), F.col(node).alias("_node"), F.col(order).alias("_x"))
+    rows = rows.filter("_node is not null")
+
+    def passes(x: str, y: str) -> Column:
+        of = lambda value: lambda c: F.col({order: value}[c])
+        return predicate(of(x), of(y))
+
+    values = rows.groupBy(*names, "_x").agg(F.min("_node").alias("_low"), F.max("_node").alias("_high"))
+    values = values.repartitionByRange(*names, "_x").withColumn("_part", F.spark_partition_id())
+    values = cut_lineage(values)
+    x = F.col("_x").cast("double")
+    finite = F.coalesce(F.abs(x) < float("inf"), F.lit(False))
+    ordered, loose = values.filter(finite), values.filter(~finite)
+
+    def follow(points: DataFrame, keys: list[str], by: str, here: tuple[str, str], there: tuple[str, str]) -> DataFrame:
+        """(block, value, node, next value, its node) of consecutive rows."""
+        line = Window.partitionBy(*keys).orderBy(by)
+        return points.select(
+            *names, F.col(here[0]).alias("_x"), F.col(here[1]).alias("_low"),
+            F.lead(there[0]).over(line).alias("_y"), F.lead(there[1]).over(line).alias("_next"),
+        ).filter("_next is not null")
+
+    inside = follow(ordered, [*names, "_part"], "_x", ("_x", "_low"), ("_x", "_low"))
+    ends = ordered.groupBy(*names, "_part").agg(
+        F.min("_x").alias("_first"), F.min_by("_low", "_x").alias("_first_low"),
+        F.max("_x").alias("_last"), F.max_by("_low", "_x").alias("_last_low"),
+    )
+    across = follow(ends, names, "_part", ("_last", "_last_low"), ("_first", "_first_low"))
+    same = [F.col(b).eqNullSafe(F.col(f"_o{b}")) for b in names]
+    odd = loose.select(*(F.col(b).alias(f"_o{b}") for b in names), F.col("_x").alias("_y"), F.col("_low").alias("_next"))
+    other = ~F.col("_x").eqNullSafe(F.col("_y"))
+    strange = values.join(odd, reduce(Column.__and__, same, other)).select(*names, "_x", "_low", "_y", "_next")
+    tested = inside.unionByName(across).unionByName(strange)
+    links = cut_lineage(tested.filter(passes("_x", "_y") | passes("_y", "_x")))
+
+    linked = links.select(*names, "_x").union(links.select(*names, "_y")).distinct()
+    linked = linked.select(*(F.col(b).alias(f"_o{b}") for b in names), F.col("_x").alias("_y"))
+    several = values.filter("_low < _high").withColumn("_same", F.col("_x"))
+    alike = several.filter(passes("_x", "_same")).drop("_same", "_part", "_high")
+    at = reduce(Column.__and__, same, F.col("_x").eqNullSafe(F.col("_y")))
+    joined = several.join(linked, at, "left_semi").drop("_same", "_part", "_high")
+    tied = alike.unionByName(joined).distinct().toDF(*(f"_o{b}" for b in names), "_y", "_low")
+    members = rows.join(tied, at).filter("_node != _low").select(F.col("_node").alias("src"), F.col("_low").alias("dst"))
+    near = links.filter("_low != _next").select(F.col("_low").alias("src"), F.col("_next").alias("dst"))
+    return members.unionByName(near)
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str) -> DataFrame:
     """(node, component), component being the smallest member; singletons kept.
 

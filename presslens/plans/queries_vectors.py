@@ -144,7 +144,8 @@ def v07_rule(spark, d):
         larger = F.greatest(F.abs(a("size")), F.abs(b("size")))
         return F.abs(a("size") - b("size")) * 50 <= larger
 
-    edges = K.edges_by_predicate(known, "company_id", close, ["country", "industry"])
+    # Two sizes that are close have only sizes between them that are close to both.
+    edges = K.edges_by_predicate(known, "company_id", close, ["country", "industry"], order="size")
     return K.cluster(known, "company_id", edges)
 
 

@@ -319,6 +319,26 @@ def test_components_by_any_rule_equal_plain_ones(spark):
     assert {r.id: r.component for r in components.cluster(df, "id", edges).collect()} == wanted
 
 
+def test_neighbours_in_order_decide_components(spark):
+    draw = random.Random(6)
+    odd = [NAN, NAN, INF, INF, -INF, None, 0.0, -0.0]
+    rows = [(i, draw.choice("pqt"), draw.uniform(-9, 9) * 10 ** draw.randrange(4)) for i in range(300)]
+    rows += [(300 + i, "p" if i < 4 else None, x) for i, x in enumerate(odd)] + [(310, None, 5.0), (311, "q", INF), (312, "q", INF)]
+    rows += [(400 + i, "r", 7.0) for i in range(200)] + [(700, "s", INF), (701, "s", INF), (None, "r", 7.0), (310, "q", 5.0)]
+    df = spark.createDataFrame(rows, "id int, g string, x double").repartition(5)
+
+    def rule(a, b):
+        return F.abs(a("x") - b("x")) * 50 <= F.greatest(F.abs(a("x")), F.abs(b("x")))
+
+    all_pairs = components.edges_by_predicate(df, "id", rule, ["g"])
+    edges = components.edges_by_predicate(df, "id", rule, ["g"], order="x")
+    found = [{r.id: r.component for r in components.cluster(df, "id", e).collect()} for e in (all_pairs, edges)]
+    assert found[0] == found[1] and len(set(found[0].values())) > 20
+    assert edges.count() < 2 * len(rows) < all_pairs.count()
+    with pytest.raises(ValueError):
+        components.edges_by_predicate(df, "id", rule, ["g"], order="g")
+
+
 def test_a_classifier_on_words_takes_null_texts_and_labels(spark):
     rows = [("data leak", True, None if i % 5 == 0 else True) if i % 2 else ("green tea", False, False) for i in range(60)]
     df = spark.createDataFrame([*rows, (None, True, True)], "text string, breach boolean, other boolean")
