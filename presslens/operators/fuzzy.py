@@ -11,10 +11,14 @@ candidates an equi-join on lengths, piece number and piece text.
 
 from __future__ import annotations
 
+import struct
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from presslens.functions.text import normalise_name, sorted_tokens
+from presslens.sources.storage import cut_lineage
 
 MIN_THRESHOLD = 70  # below, a name may need more pieces than it has characters
 
@@ -59,10 +63,10 @@ def _pieces(names: DataFrame, threshold: float, partner: str) -> DataFrame:
     stretch = (200 - threshold) / threshold
     if partner == "long":
         others = F.sequence(length, F.floor(length * stretch + 1e-9).cast("int"))
-        out = names.select("name", length.alias("len_short"), F.explode(others).alias("len_long"))
+        out = names.select("name", "bag", length.alias("len_short"), F.explode(others).alias("len_long"))
     else:
         others = F.sequence(F.ceil(length / stretch - 1e-9).cast("int"), length)
-        out = names.select("name", F.explode(others).alias("len_short"), length.alias("len_long"))
+        out = names.select("name", "bag", F.explode(others).alias("len_short"), length.alias("len_long"))
     changes = _allowed(F.col("len_short") + F.col("len_long"), threshold)
     out = out.withColumn("changes", changes).filter("changes >= len_long - len_short")
     out = out.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("changes"))))
@@ -72,17 +76,18 @@ def _pieces(names: DataFrame, threshold: float, partner: str) -> DataFrame:
     n_small = pieces - F.col("len_short") % pieces
     start = F.col("piece") * small + F.greatest(F.col("piece") - n_small, F.lit(0))
     size = F.when(F.col("piece") < n_small, small).otherwise(small + 1)
-    return out.select("name", "len_short", "len_long", "changes", "piece", start.alias("start"), size.alias("size"))
+    return out.select("name", "bag", "len_short", "len_long", "changes", "piece", start.alias("start"), size.alias("size"))
+
+
+def _signature(text: Column) -> Column:
+    """Lengths, piece number and piece as one number. Chance collisions only add candidates."""
+    return F.xxhash64("len_short", "len_long", "piece", text).alias("signature")
 
 
 def _short_signatures(names: DataFrame, threshold: float) -> DataFrame:
-    return _pieces(names, threshold, "long").select(
-        F.col("name").alias("short"),
-        "len_short",
-        "len_long",
-        "piece",
-        F.substring(F.col("name"), F.col("start") + 1, F.col("size")).alias("text"),
-    )
+    out = _pieces(names, threshold, "long")
+    text = F.substring(F.col("name"), F.col("start") + 1, F.col("size"))
+    return out.select(_signature(text), F.col("name").alias("short"), F.col("bag").alias("bag_short"))
 
 
 def _long_signatures(names: DataFrame, threshold: float) -> DataFrame:
@@ -95,20 +100,60 @@ def _long_signatures(names: DataFrame, threshold: float) -> DataFrame:
     first = low + F.pmod(low - F.col("piece"), F.lit(2))
     out = out.select("*", first.alias("first"), high.alias("last")).filter("first <= last")
     out = out.withColumn("shift", F.explode(F.sequence("first", "last", F.lit(2))))
-    return out.select(
-        F.col("name").alias("long"),
-        "len_short",
-        "len_long",
-        "piece",
-        F.substring(F.col("name"), F.col("start") + F.col("shift") + 1, F.col("size")).alias("text"),
-    )
+    text = F.substring(F.col("name"), F.col("start") + F.col("shift") + 1, F.col("size"))
+    return out.select(_signature(text), F.col("name").alias("long"), F.col("bag").alias("bag_long"))
+
+
+def _bag(name: Column) -> Column:
+    """Characters counted in 32 classes of at most 8, as 256 bits of which a class sets its lowest.
+
+    An inserted or deleted character changes one count by one, so at most one bit.
+    """
+
+    @F.pandas_udf("struct<w0:bigint,w1:bigint,w2:bigint,w3:bigint>")
+    def bag(names: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text in names:
+            counts = [0] * 32
+            for ch in text:
+                counts[ord(ch) % 32] += 1
+            bits = b"".join(((1 << min(n, 8)) - 1).to_bytes(1, "little") for n in counts)
+            rows.append(struct.unpack("<4q", bits))
+        return pd.DataFrame(rows, columns=["w0", "w1", "w2", "w3"])
 
+    return bag(name)
 
-def _distinct_names(names: DataFrame) -> DataFrame:
-    """Distinct non-empty names on a fixed number of partitions: a name is small but grows
-    into many pieces, so partitions must not be merged by size before that."""
-    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return names.select("name").filter("name != ''").distinct().repartition(parts, "name")
+
+def _distinct_names(a: DataFrame, b: DataFrame | None) -> DataFrame:
+    """Distinct non-empty names with their bag and the sides they occur on, written once.
+
+    A name is small but grows into many signatures, so names are dealt over all tasks by a key that is
+    not the one they were grouped by; by that one, tasks would be merged by size before they grow.
+    """
+    spark = a.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    names = a.select("name", F.lit(True).alias("in_a"), F.lit(b is None).alias("in_b"))
+    if b is not None:
+        names = names.unionByName(b.select("name", F.lit(False).alias("in_a"), F.lit(True).alias("in_b")))
+    known = names.filter("name != ''").groupBy("name").agg(F.max("in_a").alias("in_a"), F.max("in_b").alias("in_b"))
+    dealt = known.repartition(parts, F.xxhash64("name"))
+    return cut_lineage(dealt.withColumn("bag", _bag(F.col("name"))))
+
+
+def _close_pairs(short: DataFrame, long: DataFrame, threshold: float) -> DataFrame:
+    """(short, long) that share a signature and may be alike enough by their bags and by Levenshtein,
+    which never exceed the insert/delete distance.
+
+    Signatures outgrow what the planner knows of names, so they are merged, not broadcast.
+    """
+    pairs = _short_signatures(short, threshold).hint("merge").join(_long_signatures(long, threshold), "signature")
+    limit = _allowed(F.length("short") + F.length("long"), threshold)
+    differ = reduce(
+        Column.__add__, (F.bit_count(F.col(f"bag_short.w{i}").bitwiseXOR(F.col(f"bag_long.w{i}"))) for i in range(4))
+    )
+    pairs = pairs.filter((F.length("short") <= F.length("long")) & (differ <= limit))
+    near = F.call_function("levenshtein", F.col("short"), F.col("long"), limit) >= 0
+    return pairs.filter(near).select("short", "long")
 
 
 def match_names(a: DataFrame, b: DataFrame | None, threshold: float = 90) -> DataFrame:
@@ -119,23 +164,21 @@ def match_names(a: DataFrame, b: DataFrame | None, threshold: float = 90) -> Dat
     """
     if threshold < MIN_THRESHOLD:
         raise ValueError(f"threshold must be at least {MIN_THRESHOLD}")
-    a = _distinct_names(a)
-    on = ["len_short", "len_long", "piece", "text"]
-
-    def candidates(short: DataFrame, long: DataFrame) -> DataFrame:
-        pairs = _short_signatures(short, threshold).join(_long_signatures(long, threshold), on)
-        # Levenshtein never exceeds the insert/delete distance: a cheap native test that
-        # discards most chance meetings before pairs are made distinct.
-        limit = _allowed(F.col("len_short") + F.col("len_long"), threshold)
-        return pairs.filter(F.levenshtein("short", "long") <= limit).select("short", "long")
-
-    if b is None:
-        pairs = candidates(a, a).select(F.col("short").alias("a"), F.col("long").alias("b"))
-    else:
-        b = _distinct_names(b)
-        forward = candidates(a, b).select(F.col("short").alias("a"), F.col("long").alias("b"))
-        backward = candidates(b, a).select(F.col("long").alias("a"), F.col("short").alias("b"))
-        pairs = forward.union(backward)
+    names = _distinct_names(a, b)
+    forward = _close_pairs(names.filter("in_a"), names.filter("in_b"), threshold)
+    pairs = forward.select(F.col("short").alias("a"), F.col("long").alias("b"))
+    if b is not None:
+        # Pairs of names that are on both sides came forward, and serve in either order.
+        forward = cut_lineage(forward.distinct())
+        pairs = forward.select(F.col("short").alias("a"), F.col("long").alias("b"))
+        both = names.filter("in_a and in_b")
+        shared = [both.select(F.col("name").alias(c)) for c in ("short", "long")]
+        turned = forward.join(shared[0], "short", "left_semi").join(shared[1], "long", "left_semi")
+        for sides in (("in_b and not in_a", "in_a"), ("in_a and in_b", "in_a and not in_b")):
+            short, long = (names.filter(side) for side in sides)
+            if not short.isEmpty() and not long.isEmpty():
+                turned = turned.unionByName(_close_pairs(short, long, threshold))
+        pairs = pairs.union(turned.select(F.col("long").alias("a"), F.col("short").alias("b")))
     pairs = pairs.distinct()
     scored = pairs.withColumn("score", indel_ratio(F.col("a"), F.col("b")))
     return scored.filter(F.col("score") >= threshold)

@@ -69,6 +69,32 @@ def test_fuzzy_matches_equal_all_pairs(spark, threshold):
     }
 
 
+def test_fuzzy_matches_of_overlapping_sides_are_dealt_and_merged(spark):
+    draw = random.Random(3)
+    words = ["".join(draw.choice("abcdé 7") for _ in range(draw.randrange(1, 24))).strip() for _ in range(60)]
+    words += [w[: len(w) // 2] + draw.choice("ab7") + w[len(w) // 2 :] for w in words]
+    known = [words[:80] + [None, ""], words[40:]]
+    a, b = (spark.createDataFrame([(w,) for w in side], "name string") for side in known)
+
+    def alike(x, y):
+        return 200 * fuzzy.lcs_length(x, y) / (len(x) + len(y)) >= 80
+
+    found = fuzzy.match_names(a, b, 80)
+    got = [(r.a, r.b) for r in found.collect()]
+    left, right = ({w for w in side if w} for side in known)
+    assert sorted(got) == sorted((x, y) for x in left for y in right if alike(x, y))
+    alone = [(r.a, r.b) for r in fuzzy.match_names(a, None, 80).collect()]
+    assert set(alone) == {(x, y) for x in left for y in left if len(x) <= len(y) and alike(x, y)}
+    plan = fuzzy.match_names(a, None, 80)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    grown = fuzzy._distinct_names(a, b)  # as many tasks as there are to grow the names into signatures
+    assert grown.rdd.getNumPartitions() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for x in grown.collect():
+        for y in grown.collect():
+            differ = sum((p ^ q if (p ^ q) >= 0 else (p ^ q) + (1 << 64)).bit_count() for p, q in zip(x.bag, y.bag))
+            assert differ <= len(x.name) + len(y.name) - 2 * fuzzy.lcs_length(x.name, y.name)
+
+
 def test_fuzzy_join_ignores_token_order_and_empty_names(spark):
     left = spark.createDataFrame([(1, "Systems, Data"), (2, "")], "id long, mention string")
     right = spark.createDataFrame([("data systems",), (None,)], "name string")
