@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import FloatType
 
 from presslens.functions.vectors import l2_normalise, layer_norm
 from presslens.operators.dedup import keep_first
@@ -21,7 +22,9 @@ CELL_ROWS = 4_096
 # Bytes that the centres of all cells may take together; they are sent to every task.
 CENTRE_BYTES = 16 << 20
 # Distance cells computed at a time inside a task.
-_CELLS = 4_000_000
+_CELLS = 1_000_000
+# Rows of a shipped base that a task holds in double precision at a time.
+_BASE_ROWS = 16_384
 
 
 def normalise_vectors(df: DataFrame, vector: str, out: str | None = None) -> DataFrame:
@@ -47,8 +50,8 @@ def vector_bounds(df: DataFrame, vector: str) -> DataFrame:
     return cells.groupBy("dim").agg(F.min("_x").alias("low"), F.max("_x").alias("high"))
 
 
-def _matrix(series: pd.Series) -> np.ndarray:
-    return np.vstack([np.asarray(v, dtype=np.float64) for v in series])
+def _matrix(series: pd.Series, kind: type = np.float64) -> np.ndarray:
+    return np.vstack([np.asarray(v, dtype=kind) for v in series])
 
 
 def _nearest(points: np.ndarray, base: np.ndarray, base_ids: np.ndarray, k: int):
@@ -81,6 +84,20 @@ def _nearest(points: np.ndarray, base: np.ndarray, base_ids: np.ndarray, k: int)
             yield exact[order], base_ids[near][order]
 
 
+def _nearest_by_blocks(points: np.ndarray, base: np.ndarray, base_ids: np.ndarray, k: int) -> list:
+    """_nearest, the base taken in blocks, so that memory beside the shipped base is bounded."""
+    best: list = []
+    for at in range(0, len(base), _BASE_ROWS):
+        block = base[at : at + _BASE_ROWS].astype(np.float64)
+        found = list(_nearest(points, block, base_ids[at : at + _BASE_ROWS], k))
+        if best:
+            pairs = zip(best, found)
+            both = [(np.concatenate([d, e]), np.concatenate([i, j])) for (d, i), (e, j) in pairs]
+            found = [(d[o], i[o]) for d, i in both for o in [np.lexsort((i, d))[:k]]]
+        best = found
+    return best
+
+
 def euclidean_exact(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Distance matrix from differences, a few rows at a time: relative errors stay tiny."""
     out = np.empty((len(points), len(centres)))
@@ -128,9 +145,10 @@ def _is_small(df: DataFrame, dims: int) -> bool:
 
 
 def _shipped(df: DataFrame, id_col: str, vector: str):
-    """Broadcast variable of a side whose size has been checked."""
+    """Broadcast variable of a side whose size has been checked; floats stay floats."""
     rows = df.select(id_col, vector).toPandas()
-    matrix = _matrix(rows[vector]) if len(rows) else np.empty((0, 0))
+    single = isinstance(df.schema[vector].dataType.elementType, FloatType)
+    matrix = _matrix(rows[vector], np.float32 if single else np.float64) if len(rows) else np.empty((0, 0))
     return df.sparkSession.sparkContext.broadcast((rows[id_col].to_numpy(), matrix))
 
 
@@ -163,7 +181,7 @@ def knn(
             ids, matrix = shared.value
             for batch in batches:
                 if len(batch) and len(ids):
-                    found = list(_nearest(_matrix(batch[vector]), matrix, ids, k))
+                    found = _nearest_by_blocks(_matrix(batch[vector]), matrix, ids, k)
                     yield _neighbour_frame(query_id, batch[query_id].to_numpy(), found)
 
         return queries.select(query_id, vector).mapInPandas(search_rows, schema)
@@ -176,7 +194,7 @@ def knn(
             for batch in batches:
                 if not len(batch) or not len(ids):
                     continue
-                found = _nearest(matrix, _matrix(batch[vector]), batch[base_id].to_numpy(), k)
+                found = _nearest(matrix.astype(np.float64), _matrix(batch[vector]), batch[base_id].to_numpy(), k)
                 near = _neighbour_frame(query_id, ids, list(found))
                 best = near if best is None else pd.concat([best, near])
                 best = best.sort_values([query_id, "distance", "neighbour_id"])
