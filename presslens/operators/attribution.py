@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+BUCKET_WINDOWS = 4  # windows that a bucket of the outer join is wide
+
 
 def event_gaps(df: DataFrame, entity: str, date: str) -> DataFrame:
     """Days since the previous distinct event date of the same entity."""
@@ -31,6 +33,11 @@ def _window_buckets(date: Column, max_days: int) -> Column:
     return F.explode(F.array_distinct(F.array(first, last)))
 
 
+def _event_buckets(day: Column, max_days: int, width: int) -> Column:
+    """Buckets of width days of the events that lie less than max_days before a day."""
+    return F.array_distinct(F.array(F.floor((day - max_days + 1) / width), F.floor((day - 1) / width)))
+
+
 def _in_window(event_date: Column, mention_date: Column, max_days: int) -> Column:
     gap = F.date_diff(mention_date, event_date)
     return (gap > 0) & (gap < max_days)
@@ -98,10 +105,11 @@ def attribute_in_window_left(
         joined = events.join(mentions.withColumn("_hit", F.lit(True)), F.lit(False), "left")
     else:
         # An event lies in one bucket and its mentions in that or the next one, so every pair meets
-        # once and one outer join gives pairs and uncovered events alike.
-        left = events.withColumn("_bucket", F.floor(F.unix_date(F.col(event_date)) / max_days))
-        day = F.unix_date(F.col(mention_date))
-        starts = F.array_distinct(F.array(F.floor((day - max_days + 1) / max_days), F.floor((day - 1) / max_days)))
+        # once and one outer join gives pairs and uncovered events alike. Buckets are some windows
+        # wide, so few mentions lie behind events of two buckets and travel twice.
+        width = max_days * BUCKET_WINDOWS
+        left = events.withColumn("_bucket", F.floor(F.unix_date(F.col(event_date)) / width))
+        starts = _event_buckets(F.unix_date(F.col(mention_date)), max_days, width)
         right = mentions.withColumns({"_mention_bucket": F.explode(starts), "_hit": F.lit(True)})
         condition = (
             _keys_equal(left, right, on, null_safe)
