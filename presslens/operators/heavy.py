@@ -64,16 +64,19 @@ def split_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join {how}")
+    # Keys become columns: as expressions they would be computed anew in every comparison of a sort.
+    left, right = left.withColumn("_left_key", left_key), right.withColumn("_right_key", right_key)
+    left_key, right_key = F.col("_left_key"), F.col("_right_key")
     same = left_key == right_key
     small = source_bytes(left) <= SMALL_BYTES and source_bytes(right) <= SMALL_BYTES
     if small or is_broadcast(right) or (how == "inner" and is_broadcast(left)):
-        return left.join(right, same if also is None else same & also, how)
+        return left.join(right, same if also is None else same & also, how).drop("_left_key", "_right_key")
     if salts is None:
         salts = min(MOST_SALTS, 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hot_left = heavy_keys(left, left_key, share, salts)
     hot_right = heavy_keys(right, right_key, share, salts) if how == "inner" else []
     if not hot_left and not hot_right:
-        return left.join(right, same if also is None else same & also, how)
+        return left.join(right, same if also is None else same & also, how).drop("_left_key", "_right_key")
 
     def dealt(df: DataFrame, key: Column, own: str, own_hot: list[int], other: str, other_hot: list[int]):
         h = F.xxhash64(key)
@@ -84,4 +87,4 @@ def split_join(
     a = dealt(left, left_key, "_la", hot_left, "_lb", hot_right)
     b = dealt(right, right_key, "_rb", hot_right, "_ra", hot_left)
     same = same & (F.col("_la") == F.col("_ra")) & (F.col("_lb") == F.col("_rb"))
-    return a.join(b, same if also is None else same & also, how).drop("_la", "_lb", "_ra", "_rb")
+    return a.join(b, same if also is None else same & also, how).drop("_la", "_lb", "_ra", "_rb", "_left_key", "_right_key")

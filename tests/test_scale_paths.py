@@ -177,6 +177,42 @@ def test_hot_mention_spreads_over_tasks(spark, shuffled_joins):
     assert len(per_task) > 4 and max(per_task) <= 3 * np.median(per_task)
 
 
+def test_name_keys_are_computed_before_the_join_sorts(spark, shuffled_joins):
+    left = spark.createDataFrame([("A.b",), ("c",), (None,), ("!",)], "x string")
+    right = spark.createDataFrame([("a b",), ("AB.",), ("c-",)], "y string")
+    for joined in (joins.join_normalised(left, right, "x", "y"), joins.join_ci_exact(left, right, "x", "y")):
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        steps = [line for line in plan.splitlines() if "Sort" in line or "Exchange" in line]
+        assert steps and not any("lower(" in line or "regexp_replace(" in line for line in steps)
+        assert joined.columns == ["x", "y"]
+    assert sorted(map(tuple, joins.join_normalised(left, right, "x", "y").collect())) == [("A.b", "AB."), ("c", "c-")]
+
+
+def test_few_mentions_meet_events_of_two_buckets(spark):
+    days = spark.range(-2000, 2000).select(F.col("id").cast("int").alias("day"))
+    width = 10 * attribution.BUCKET_WINDOWS
+    copies = days.select("day", F.explode(attribution._event_buckets(F.col("day"), 10, width)).alias("b"))
+    assert copies.count() < 1.5 * 4000
+    held = {(r.day, r.b) for r in copies.collect()}
+    assert all((day, (day - gap) // width) in held for day in range(-2000, 2000) for gap in range(1, 10))
+
+
+def test_shipped_floats_stay_floats_and_blocks_equal_the_whole(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    base = draw.integers(-4, 5, (700, 3)).astype(np.float32)  # many ties
+    ids, points = draw.permutation(700), draw.normal(size=(40, 3))
+    monkeypatch.setattr(vectors, "_BASE_ROWS", 64)
+    for k in (1, 5, 100, 900):
+        whole = list(vectors._nearest(points, base.astype(np.float64), ids, k))
+        blocks = vectors._nearest_by_blocks(points, base, ids, k)
+        for (d, i), (e, j) in zip(whole, blocks, strict=True):
+            assert np.allclose(d, e, rtol=1e-12) and (i == j).all()
+    df = spark.createDataFrame([(1, [1.0, 2.0])], "id int, v array<float>")
+    assert vectors._shipped(df, "id", "v").value[1].dtype == np.float32
+    double = df.select("id", F.col("v").cast("array<double>").alias("v"))
+    assert vectors._shipped(double, "id", "v").value[1].dtype == np.float64
+
+
 def test_heavy_keys_are_found(spark):
     df = spark.createDataFrame(skewed(spark, 5000, 4, 0.5), "i long, a string")
     hot = heavy.heavy_keys(df, F.col("a"), 0.1)
