@@ -50,11 +50,10 @@ def event_coverage(
     named = exclude_values(first, "mention", NOT_A_COMPANY, keep_null=False)
     # The largest company of each name is what the per-article choice would keep.
     known = largest_per_name(companies, "name", "size", "company_id")
-    ids = known.select("name", F.col("company_id").alias("article_company"))
-    mentions = named.join(
-        ids, (normalise_name(F.col("mention")) == normalise_name(F.col("name")))
-        & (normalise_name(F.col("mention")) != ""),
-    )
+    # Keys are columns, so that no sort computes them in its comparisons.
+    ids = known.select(normalise_name(F.col("name")).alias("_name_key"), F.col("company_id").alias("article_company"))
+    keyed = named.withColumn("_name_key", normalise_name(F.col("mention"))).filter("_name_key != ''")
+    mentions = keyed.join(ids, "_name_key")
     matched = left_join_normalised(events, known, "organisation", "name")
     unique = keep_largest(
         matched, ["organisation", "records", "breach_date"], "size", ["breach_id"], fill=-1
