@@ -36,10 +36,14 @@ RUN_BYTES = 4 << 20  # hashes counted at a time
 TEST_BYTES = 1 << 20  # hashes tested at a time
 
 
+def _sha256(text: pa.Array) -> list[bytes]:
+    return [hashlib.sha256(t.lower()).digest() for t in textkit.as_bytes(text)]
+
+
 @F.arrow_udf(BinaryType())
 def normalised_sha256(text: pa.Array) -> pa.Array:
     """SHA-256 of the UTF-8 text with A-Z lower-cased."""
-    return pa.array([hashlib.sha256(t.lower()).digest() for t in textkit.as_bytes(text)], pa.binary())
+    return pa.array(_sha256(text), pa.binary())
 
 
 def _cells(packed: list[bytes], width: int, bits: int) -> np.ndarray:
@@ -119,18 +123,17 @@ class RepeatFilter:
             packed[row.segment * size : (row.segment + 1) * size] = np.frombuffer(row.bitmap, np.uint8)
         self.shared = rows.sparkSession.sparkContext.broadcast(packed)
 
-    def repeats(self, column: str) -> Column:
-        """How many of the packed hashes possibly occur more than once."""
+    def _counter(self):
+        """Function that tells how many of each value's hashes possibly occur more than once."""
         shared, bits, width = self.shared, self.bits, self.width
 
         def hits(values: list[bytes]) -> np.ndarray:
             at = _cells(values, width, bits)
             return (shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(axis=1)
 
-        @F.arrow_udf(LongType())
-        def count(packed: pa.Array) -> pa.Array:
+        def count(values: list[bytes]) -> np.ndarray:
             out, run, size = [], [], 0
-            for value in packed.to_pylist():
+            for value in values:
                 run.append(value)
                 size += len(value)
                 if size > TEST_BYTES:
@@ -138,10 +141,35 @@ class RepeatFilter:
                     run, size = [], 0
             if run:
                 out.append(_sums(hits(run), run, width))
-            return pa.array(np.concatenate(out) if out else [], pa.int64())
+            return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+        return count
+
+    def repeats(self, column: str) -> Column:
+        """How many of the packed hashes possibly occur more than once."""
+        counter = self._counter()
+
+        @F.arrow_udf(LongType())
+        def count(packed: pa.Array) -> pa.Array:
+            return pa.array(counter(packed.to_pylist()), pa.int64())
 
         return count(F.col(column))
 
+    def repeated_sha256(self, text: str) -> Column:
+        """normalised_sha256 of a text that possibly occurs more than once, else null.
+
+        Hashed and tested by one function: of two in a row each would hold a Python worker of its own.
+        """
+        counter = self._counter()
+
+        @F.arrow_udf(BinaryType())
+        def repeated(column: pa.Array) -> pa.Array:
+            hashes = _sha256(column)
+            return pa.array(hashes, pa.binary(), mask=counter(hashes) == 0)
+
+        # Else a filter on the hash would be pushed below it and evaluate it a second time.
+        return repeated.asNondeterministic()(text)
+
     def possibly_repeated(self, column: str) -> Column:
         return self.repeats(column) > 0
 
@@ -173,15 +201,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Columns of any type and name are kept.
     """
-    sha, again, row = unused(docs, "_sha", "_again", "_row")
-    marked = docs.withColumn(sha, normalised_sha256(text_col))
+    sha, row = unused(docs, "_sha", "_row")
     hashed = row_hash(docs)
-    thin = write_table(marked.select(sha, F.col(id_col).alias("id"), hashed.alias("row")), "hashes")
-    possible = RepeatFilter(thin, sha, thin.count()).possibly_repeated(sha)
-    best = thin.filter(possible).groupBy(sha).agg(F.max(F.struct("id", "row")).alias("best"))
+    columns = normalised_sha256(text_col).alias(sha), F.col(id_col).alias("id"), hashed.alias("row")
+    thin = write_table(docs.select(*columns), "hashes")
+    repeats = RepeatFilter(thin, sha, thin.count())
+    best = thin.filter(repeats.possibly_repeated(sha)).groupBy(sha).agg(F.max(F.struct("id", "row")).alias("best"))
     winners = write_table(best.select(F.col(sha), F.col("best.row").alias(row)), "winners")
-    marked = marked.withColumn(again, possible)
-    alone = marked.filter(~F.col(again))
-    rest = marked.filter(F.col(again)).withColumn(row, hashed).join(winners, [sha, row], "left_semi")
+    marked = docs.withColumn(sha, repeats.repeated_sha256(text_col))
+    alone = marked.filter(F.col(sha).isNull())
+    rest = marked.filter(F.col(sha).isNotNull()).withColumn(row, hashed).join(winners, [sha, row], "left_semi")
     rest = rest.dropDuplicates([sha])
-    return alone.drop(sha, again).unionByName(rest.drop(sha, again, row))
+    return alone.drop(sha).unionByName(rest.drop(sha, row))

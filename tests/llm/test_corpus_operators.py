@@ -158,6 +158,14 @@ def test_a_saturated_filter_changes_nothing(spark, monkeypatch):
     assert len(flagged) < len(repeated) + 100
 
 
+def test_exact_dedup_holds_one_python_worker_a_task(spark):
+    rows = [(1, "A b"), (2, "a B"), (3, None), (4, ""), (5, "c"), (None, "C")]
+    kept = exact_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2  # one for either side of the union
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 4, 5]
+
+
 def brute_tiles(item, doc, least):
     """Longest common unmarked runs by plain search."""
     free_i, free_d, tiles = [True] * len(item), [True] * len(doc), []
