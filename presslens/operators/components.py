@@ -9,7 +9,7 @@ from pyspark.sql.types import NumericType
 
 from presslens.functions.text import normalise_name, sorted_tokens
 from presslens.operators.fuzzy import match_names
-from presslens.sources.storage import cut_lineage
+from presslens.sources.storage import cut_estimates, cut_lineage
 
 
 def edges_same_key(df: DataFrame, node: str, key: Column) -> DataFrame:
@@ -107,10 +107,11 @@ def edges_by_predicate(
 def _edges_in_order(df: DataFrame, node: str, predicate, block: list[str], order: str) -> DataFrame:
     """edges_by_predicate through the distinct values of a block.
 
-    Values are dealt over tasks by ranges. A task tests its neighbouring values, and the last value of a
-    block in one task is tested against the first one of the next task that has any. Null, NaN and
-    the infinities keep to no order and are tested against all values. Rows of a value that passes
-    with itself or with another one belong together and are tied to its smallest node.
+    Values are dealt over tasks by ranges, and a task cuts its values into runs of neighbours that pass. The last
+    run of a block in one task and the first one of the next task that has any belong to one chain if they pass.
+    Rows are tied to the smallest node of their run and this to the smallest one of its chain, so edges are two
+    steps deep, however long a chain of values is. Null, NaN and the infinities keep to no order and are tested
+    against all values. Rows of a value that passes with itself or with another one belong together.
     """
     if not isinstance(df.schema[order].dataType, NumericType):
         raise ValueError(f"{order} must be a number")
@@ -120,46 +121,63 @@ def _edges_in_order(df: DataFrame, node: str, predicate, block: list[str], order
 
     def passes(x: str, y: str) -> Column:
         of = lambda value: lambda c: F.col({order: value}[c])
-        return predicate(of(x), of(y))
+        return F.coalesce(predicate(of(x), of(y)) | predicate(of(y), of(x)), F.lit(False))
 
-    values = rows.groupBy(*names, "_x").agg(F.min("_node").alias("_low"), F.max("_node").alias("_high"))
+    values = rows.groupBy(*names, "_x").agg(F.min("_node").alias("_low"))
     values = values.repartitionByRange(*names, "_x").withColumn("_part", F.spark_partition_id())
     values = cut_lineage(values)
     x = F.col("_x").cast("double")
     finite = F.coalesce(F.abs(x) < float("inf"), F.lit(False))
     ordered, loose = values.filter(finite), values.filter(~finite)
 
-    def follow(points: DataFrame, keys: list[str], by: str, here: tuple[str, str], there: tuple[str, str]) -> DataFrame:
-        """(block, value, node, next value, its node) of consecutive rows."""
-        line = Window.partitionBy(*keys).orderBy(by)
-        return points.select(
-            *names, F.col(here[0]).alias("_x"), F.col(here[1]).alias("_low"),
-            F.lead(there[0]).over(line).alias("_y"), F.lead(there[1]).over(line).alias("_next"),
-        ).filter("_next is not null")
-
-    inside = follow(ordered, [*names, "_part"], "_x", ("_x", "_low"), ("_x", "_low"))
-    ends = ordered.groupBy(*names, "_part").agg(
-        F.min("_x").alias("_first"), F.min_by("_low", "_x").alias("_first_low"),
-        F.max("_x").alias("_last"), F.max_by("_low", "_x").alias("_last_low"),
+    line = Window.partitionBy(*names, "_part").orderBy("_x")
+    points = ordered.withColumn("_y", F.lag("_x").over(line))
+    points = points.withColumn("_cut", (F.col("_y").isNull() | ~passes("_y", "_x")).cast("int"))
+    points = points.withColumn("_run", F.sum("_cut").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    run = Window.partitionBy(*names, "_part", "_run")
+    points = points.withColumns({"_least": F.min("_low").over(run), "_size": F.count("*").over(run)})
+
+    ends = points.groupBy(*names, "_part").agg(
+        F.min("_x").alias("_first"), F.min_by("_least", "_run").alias("_first_least"),
+        F.max("_x").alias("_last"), F.max_by("_least", "_run").alias("_last_least"), F.max("_run").alias("_runs"),
     )
-    across = follow(ends, names, "_part", ("_last", "_last_low"), ("_first", "_first_low"))
+    parts = Window.partitionBy(*names).orderBy("_part")
+    ends = ends.withColumns({"_y": F.lag("_last").over(parts), "_several": (F.col("_runs") > 1).cast("int")})
+    ends = ends.withColumn("_cut", (F.col("_y").isNull() | ~passes("_y", "_first")).cast("int"))
+    # Cuts between tasks and inside them, up to a run, number its chain.
+    cuts = F.sum(F.col("_cut") + F.col("_several")).over(parts.rowsBetween(Window.unboundedPreceding, 0))
+    ends = ends.withColumn("_cuts", cuts)
+
+    def side(number: Column, value: str, least: str) -> Column:
+        return F.struct(number.alias("_chain"), F.col(value).alias("_x"), F.col(least).alias("_via"))
+
+    first = side(F.col("_cuts") - F.col("_several"), "_first", "_first_least")
+    last = side(F.col("_cuts"), "_last", "_last_least")
+    sides = ends.select(*names, F.inline(F.when(F.col("_several") == 1, F.array(first, last)).otherwise(F.array(first))))
+    chain = Window.partitionBy(*names, "_chain")
+    chains = sides.withColumns({"_least": F.min("_via").over(chain), "_size": F.count("*").over(chain)}).filter("_size > 1")
+
+    tied = points.filter((F.col("_size") > 1) | passes("_x", "_x")).select(*names, "_x", "_least", "_least")
+    tied = tied.union(chains.select(*names, "_x", "_via", "_least"))
+    if not loose.isEmpty():
+        tied = tied.union(_loose_ties(values, loose, names, passes))
+    tied = tied.toDF(*(f"_o{b}" for b in names), "_y", "_via", "_least")
+    joined = rows.join(tied, _same_value(names))
+    ties = [F.struct(F.col(c).alias("src"), F.col("_least").alias("dst")) for c in ("_node", "_via")]
+    return joined.select(F.inline(F.array(*ties))).filter("src != dst")
+
+
+def _same_value(names: list[str]) -> Column:
+    same = [F.col(b).eqNullSafe(F.col(f"_o{b}")) for b in names]
+    return reduce(Column.__and__, same, F.col("_x").eqNullSafe(F.col("_y")))
+
+
+def _loose_ties(values: DataFrame, loose: DataFrame, names: list[str], passes) -> DataFrame:
+    """(block, value, its smallest node, node it is tied to) of values without an order and of those they pass with."""
+    odd = loose.select(*(F.col(b).alias(f"_o{b}") for b in names), F.col("_x").alias("_y"), F.col("_low").alias("_least"))
     same = [F.col(b).eqNullSafe(F.col(f"_o{b}")) for b in names]
-    odd = loose.select(*(F.col(b).alias(f"_o{b}") for b in names), F.col("_x").alias("_y"), F.col("_low").alias("_next"))
-    other = ~F.col("_x").eqNullSafe(F.col("_y"))
-    strange = values.join(odd, reduce(Column.__and__, same, other)).select(*names, "_x", "_low", "_y", "_next")
-    tested = inside.unionByName(across).unionByName(strange)
-    links = cut_lineage(tested.filter(passes("_x", "_y") | passes("_y", "_x")))
-
-    linked = links.select(*names, "_x").union(links.select(*names, "_y")).distinct()
-    linked = linked.select(*(F.col(b).alias(f"_o{b}") for b in names), F.col("_x").alias("_y"))
-    several = values.filter("_low < _high").withColumn("_same", F.col("_x"))
-    alike = several.filter(passes("_x", "_same")).drop("_same", "_part", "_high")
-    at = reduce(Column.__and__, same, F.col("_x").eqNullSafe(F.col("_y")))
-    joined = several.join(linked, at, "left_semi").drop("_same", "_part", "_high")
-    tied = alike.unionByName(joined).distinct().toDF(*(f"_o{b}" for b in names), "_y", "_low")
-    members = rows.join(tied, at).filter("_node != _low").select(F.col("_node").alias("src"), F.col("_low").alias("dst"))
-    near = links.filter("_low != _next").select(F.col("_low").alias("src"), F.col("_next").alias("dst"))
-    return members.unionByName(near)
+    links = values.join(odd, reduce(Column.__and__, same)).filter(passes("_x", "_y"))
+    return links.select(*names, "_x", "_low", "_least").union(links.select(*names, "_y", "_least", "_least")).distinct()
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str) -> DataFrame:
@@ -177,8 +195,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str) -> DataF
             both.groupBy("src").agg(F.min("dst").alias("parent")).filter("parent < src")
         )
         parents = _jump_to_roots(parents)
-        labels = cut_lineage(_relabel(labels, "component", parents))
-        live = cut_lineage(
+        labels = cut_estimates(_relabel(labels, "component", parents))
+        live = cut_estimates(
             _relabel(_relabel(live, "src", parents), "dst", parents).filter("src != dst").distinct()
         )
     return labels.select(F.col("node").alias(node), "component")
@@ -194,7 +212,7 @@ def _jump_to_roots(parents: DataFrame) -> DataFrame:
     """Replace parent by grandparent until nobody's parent has a parent."""
     while True:
         step = parents.select(F.col("src").alias("_mid"), F.col("parent").alias("_next"))
-        jumped = cut_lineage(
+        jumped = cut_estimates(
             parents.join(step, F.col("parent") == F.col("_mid"), "left").select(
                 "src",
                 F.coalesce("_next", "parent").alias("parent"),

@@ -36,3 +36,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(storage_root(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def cut_estimates(df: DataFrame) -> DataFrame:
+    """cut_lineage for loops that join tables which earlier joins of the loop have made.
+
+    A checkpoint keeps the planner's estimate of its size, and a join multiplies those of its sides: the digits
+    double from step to step, until planning takes longer than any work. Here the rows are a table of unknown
+    size, and adaptive execution goes by the sizes it meets.
+    """
+    kept, session = cut_lineage(df), df.sparkSession
+    rows = session._jsparkSession.createDataFrame(kept._jdf.toJavaRDD(), kept._jdf.schema())
+    return DataFrame(rows, session)

@@ -375,6 +375,42 @@ def test_neighbours_in_order_decide_components(spark):
         components.edges_by_predicate(df, "id", rule, ["g"], order="g")
 
 
+def test_chains_of_values_over_many_tasks_are_two_steps_deep(spark):
+    draw = random.Random(8)
+    ids = draw.sample(range(10_000), 700)
+    rows = [(i, draw.choice(["p", "p", "q", None]), 1.01 ** draw.randrange(1200)) for i in ids]
+    rows += [(10_000 + i, "r", 10.0**i) for i in range(40)] + [(20_000 + i, "r", 1e9) for i in range(3)]
+    df = spark.createDataFrame(rows, "id int, g string, x double").repartition(5)
+
+    def rule(a, b):
+        return F.abs(a("x") - b("x")) * 20 <= F.greatest(F.abs(a("x")), F.abs(b("x")))
+
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    was = [(k, spark.conf.get(k)) for k in (coalesce, "spark.sql.shuffle.partitions")]
+    try:
+        spark.conf.set(coalesce, "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        edges = [(r.src, r.dst) for r in components.edges_by_predicate(df, "id", rule, ["g"], order="x").collect()]
+    finally:
+        for k, v in was:
+            spark.conf.set(k, v)
+    all_pairs = components.edges_by_predicate(df, "id", rule, ["g"])
+    wanted = {r.id: r.component for r in components.cluster(df, "id", all_pairs).collect()}
+    least = {i: i for i in wanted}
+    for a, b in edges:
+        least[a], least[b] = min(least[a], b), min(least[b], a)
+    assert {i: least[least[i]] for i in wanted} == wanted
+    assert 40 < len(set(wanted.values())) < len(rows) / 2 and len(edges) < 2 * len(rows)
+
+
+def test_estimates_of_size_do_not_grow_with_the_steps_of_a_chain(spark):
+    ties = spark.range(1, 300).select(F.col("id").alias("src"), (F.col("id") - 1).alias("dst"))
+    found = components.connected_components(spark.range(300).toDF("id"), ties, "id")
+    assert {r.component for r in found.collect()} == {0}
+    estimate = found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert estimate < 1 << 64
+
+
 def test_a_classifier_on_words_takes_null_texts_and_labels(spark):
     rows = [("data leak", True, None if i % 5 == 0 else True) if i % 2 else ("green tea", False, False) for i in range(60)]
     df = spark.createDataFrame([*rows, (None, True, True)], "text string, breach boolean, other boolean")
